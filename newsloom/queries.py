@@ -2,26 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
+from newsloom.catalog import QUERIES, SQL, Query, query, read, relations, retrieval, scans  # noqa: F401
 from newsloom.operators.packed import LOCATIONS, ORGANIZATIONS, PERSONS, THEMES, explode_values
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-
-def read(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
-
 
+@query("p4_found")
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every packed value of the candidates in its place."""
     return explode_values(read(spark, d, "bronze_candidates"), [THEMES, LOCATIONS, PERSONS, ORGANIZATIONS])
 
 
 def queries() -> dict[str, Query]:
-    return {"p4_found": p4_found}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
