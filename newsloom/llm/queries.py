@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from newsloom.cut import materialize
 from newsloom.llm import cap, cooccur, entities, history, leaks, mixing, neardup, subjects, terms
+
 from newsloom.operators.packed import ALL_NAMES, ORGANIZATIONS, PERSONS, THEMES, unpack_values
+from newsloom.queries import values_sql
 
 
 def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -131,6 +133,37 @@ def p10_subjects(spark: SparkSession, d: str) -> DataFrame:
     return subjects.subjects(_read(spark, d, "documents"), _read(spark, d, "subject_labels"))
 
 
+_SITE = "nullif(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(source_domain), '\\s+', '', 'g'), ':[0-9]*$', ''), '\\.+$', ''), '^www\\.', ''), '')"
+_RANKED = f"""SELECT n.doc_id, n.partition_date, contributor, CASE WHEN contributor IS NOT NULL THEN row_number() OVER (PARTITION BY n.partition_date, contributor ORDER BY market_context_score DESC NULLS LAST, source_priority DESC NULLS LAST, n.doc_id) END AS rank, cap
+  FROM (SELECT DISTINCT doc_id, partition_date, {_SITE} AS contributor, market_context_score, source_priority FROM graph_doc_nodes_daily) n JOIN (SELECT partition_date, greatest(1, count(DISTINCT doc_id) // 25) AS cap FROM graph_doc_nodes_daily GROUP BY 1) c ON c.partition_date = n.partition_date"""
+_THEMES = f"SELECT 'v2_themes' AS field, doc_id, list_distinct(list_transform({values_sql('v2_themes')}, lambda t : upper(t))) AS items FROM (SELECT DISTINCT doc_id, v2_themes FROM bronze_candidates)"
+_FACTORS = "SELECT 'factor_label' AS field, doc_id, list_distinct(list(factor_label)) AS items FROM silver_factor_mentions WHERE factor_label IS NOT NULL GROUP BY doc_id"
+
+
+def _pairs_sql(records: str) -> str:
+    return f"""WITH r AS (SELECT * FROM ({records}) WHERE len(items) > 0), i AS (SELECT field, doc_id, unnest(items) AS item FROM r), c AS (SELECT field, item, count(*) AS n FROM i GROUP BY 1, 2), t AS (SELECT field, count(*) AS n FROM r GROUP BY 1),
+  p AS (SELECT a.field, a.item AS item_a, b.item AS item_b, count(*) AS n_ab FROM i a JOIN i b ON a.field = b.field AND a.doc_id = b.doc_id AND a.item < b.item GROUP BY 1, 2, 3)
+  SELECT p.field, item_a, item_b, n_ab, x.n AS n_a, y.n AS n_b, t.n AS n_records FROM p JOIN c x ON x.field = p.field AND x.item = item_a JOIN c y ON y.field = p.field AND y.item = item_b JOIN t ON t.field = p.field"""
+
+
+_TERMS = f"""WITH v AS (SELECT 'v2_themes' AS field, doc_id, unnest({values_sql('v2_themes')}) AS x FROM (SELECT DISTINCT doc_id, v2_themes FROM bronze_candidates) UNION ALL SELECT 'all_names', doc_id, unnest({values_sql('all_names')}) FROM (SELECT DISTINCT doc_id, all_names FROM bronze_candidates)),
+  n AS (SELECT field, count(DISTINCT doc_id) AS records FROM v GROUP BY 1), f AS (SELECT field, upper(regexp_replace(x, '\\s+', ' ', 'g')) AS term, count(*) AS occurrences, count(DISTINCT doc_id) AS docs FROM v GROUP BY 1, 2)
+  SELECT f.field, term, occurrences, docs, records, CASE WHEN docs <= 2 THEN 'rare' WHEN docs >= records * 0.1 THEN 'common' END AS mark FROM f JOIN n ON n.field = f.field"""
+_GRAMS = "SELECT DISTINCT {id}, unnest(list_transform(range(1, greatest(1, len(w) - 10)), lambda i : array_to_string(w[i:i + 11], ' '))) AS g FROM (SELECT {id}, regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+') AS w FROM {table})"
+
+
+def oracle_sql() -> dict[str, str]:
+    grams = f"SELECT DISTINCT d.doc_id, i.item_id FROM ({_GRAMS.format(id='doc_id', text='text', table='documents')}) d JOIN ({_GRAMS.format(id='item_id', text='item_text', table='eval_items')}) i ON i.g = d.g"
+    return {
+        "p1_found": f"SELECT field, item_a, item_b FROM ({_pairs_sql(_THEMES + ' UNION ALL ' + _FACTORS)}) WHERE n_ab >= 5 AND n_ab >= 0.002 * n_records AND n_ab * n_records >= 3 * n_a * n_b",
+        "p2_found": f"SELECT field, term, mark FROM ({_TERMS}) WHERE mark IS NOT NULL",
+        "p2_terms": _TERMS,
+        "p7_found": f"SELECT doc_id FROM ({_RANKED}) WHERE rank > cap",
+        "p7_ranked": f"SELECT *, coalesce(rank <= cap, true) AS kept FROM ({_RANKED})",
+        "p8_found": grams,
+    }
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found, "p1_significance": p1_significance, "p2_found": p2_found, "p2_terms": p2_terms, "p3_found": p3_found, "p3_groups": p3_groups, "p5_found": p5_found, "p6_found": p6_found, "p6_coverage": p6_coverage,

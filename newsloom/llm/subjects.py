@@ -2,11 +2,13 @@
 
 The graph has sentences on one side and their telling terms on the other; two texts are similar through
 the terms they share, so no list of document pairs is ever built. An edge is kept only if it is verified:
-the term must be tied to a subject beyond chance (lift and log-likelihood ratio) among the labelled texts
-or, later, among the sentences that carry labels. Labels then travel along the edges by joins: from
-labelled documents to terms, from terms to sentences, from sentences back to terms, with the labels that
-raters agree on held fast. A sentence takes the subject with the strongest evidence or none; a document
-keeps every subject that holds enough of its sentences.
+the term must be tied to a subject beyond chance (lift and log-likelihood ratio, both against the
+subjects of its own language) in the labelled documents or, later, in the other sentences of the
+documents it occurs in; a sentence never vouches for its own terms, so what stands in every text gains
+nothing. Labels then travel along the edges by joins: from labelled documents to terms, from terms to
+sentences, from sentences back to terms, with the labels that raters agree on held fast. A sentence takes
+the subject with the strongest evidence or none; a document keeps every subject that holds enough of its
+sentences.
 """
 
 from __future__ import annotations
@@ -29,22 +31,72 @@ def terms(sentence: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(s, F.lit(r"[\p{L}\p{M}][\p{L}\p{M}-]*"), F.lit(0)))
 
 
+# Accented letters and their plain forms, for comparing terms across languages.
+ACCENTED, PLAIN = "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿœ", "aaaaaaceeeeiiiinoooooouuuuyyo"
+
+
+def stem(term: Column) -> Column:
+    """First five letters without accents, for terms long enough to have them; else null."""
+    return F.when(F.length(term) >= 5, F.substring(F.translate(F.lower(term), ACCENTED, PLAIN), 1, 5))
+
+
+def _borrowed(edge: DataFrame, said: DataFrame, tied: DataFrame, least: int) -> DataFrame:
+    """Weights for terms of texts that no label reached, taken from their cognates.
+
+    Only a term that occurs almost nowhere in a sentence with a subject borrows: a word in a language
+    without labels does, a word that names companies in every subject does not. A stem lends if one
+    subject holds most of its weight.
+    """
+    use = edge.join(said.select("doc", "sentence", F.lit(1).alias("has")), ["doc", "sentence"], "left").groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.count("has").alias("n_has"))
+    orphan = use.filter((F.col("n") >= least) & (F.col("n_has") <= 0.2 * F.col("n"))).select("term", stem(F.substring(F.col("term"), 4, 100)).alias("stem")).filter("stem is not null")
+    lent = tied.select(stem(F.substring(F.col("term"), 4, 100)).alias("stem"), "subject", "weight").filter("stem is not null").groupBy("stem", "subject").agg(F.max("weight").alias("weight"), F.sum("weight").alias("w"))
+    lent = lent.withColumn("all", F.sum("w").over(Window.partitionBy("stem"))).filter(F.col("w") >= 0.7 * F.col("all"))
+    return orphan.join(lent, "stem").select("term", "subject", (0.5 * F.col("weight")).alias("weight"))
+
+
+# Frequent function words by which a text's language is told.
+MARKERS = {
+    "de": "der die das und ist nicht ein eine mit für von im am auf bei aus nach über es vor dem den zu wie keine weniger",
+    "en": "the of and to in for with that by at on from was has but not this is an as",
+    "es": "el la los las de en y que con para por del una se no es lo al desde menos",
+    "fr": "le la les de des et à du que pour dans avec sur une est au il sans chez depuis",
+}
+
+
+def language(words: Column) -> Column:
+    """The language whose function words a text holds most of; English where none is ahead."""
+    n = {k: F.size(F.array_intersect(words, F.array(*map(F.lit, v.split())))) for k, v in MARKERS.items()}
+    best = F.greatest(*n.values())
+    return F.when(n["en"] == best, "en").when(n["de"] == best, "de").when(n["es"] == best, "es").otherwise("fr")
+
+
 def _tied(counts: DataFrame, least: int, lift: float, ratio: float) -> DataFrame:
     """(term, subject, n) -> (term, subject, weight) for terms tied to a subject beyond chance.
 
     weight is the log of how much likelier the subject is with the term than without knowledge of it.
     """
     own = Window.partitionBy("term")
-    total = counts.groupBy("subject").agg(F.sum("n").alias("n_subject"))
-    prior = total.withColumn("prior", F.col("n_subject") / F.sum("n_subject").over(Window.partitionBy())).select("subject", "prior")  # one row per subject
-    t = counts.withColumn("n_term", F.sum("n").over(own)).filter(F.col("n_term") >= least).join(F.broadcast(prior), "subject")
+    lang = F.substring("term", 1, 2)
+    total = counts.groupBy(lang.alias("lang"), "subject").agg(F.sum("n").alias("n_subject"))
+    prior = total.withColumn("prior", F.col("n_subject") / F.sum("n_subject").over(Window.partitionBy("lang"))).select("lang", "subject", "prior")  # one row per language and subject
+    t = counts.withColumn("lang", lang).withColumn("n_term", F.sum("n").over(own)).filter(F.col("n_term") >= least).join(F.broadcast(prior), ["lang", "subject"])
     p = F.col("n") / F.col("n_term")
     t = t.withColumn("lift", p / F.col("prior")).withColumn("g", 2 * F.col("n") * F.log(p / F.col("prior")))
     t = t.withColumn("best", F.max("lift").over(own)).withColumn("top", F.max("g").over(own)).filter((F.col("best") >= lift) & (F.col("top") >= ratio))
     return t.filter("lift > 1").select("term", "subject", F.log("lift").alias("weight"))
 
 
-def subjects(documents: DataFrame, labels: DataFrame, share: float = 0.25, rounds: int = 3, least: int = 5, lift: float = 3.0, ratio: float = 10.0, clamp: float = 1.0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _around(edge: DataFrame, said: DataFrame) -> DataFrame:
+    """(term, subject, n): subjects of the other sentences of the documents that hold the term; each occurrence counts once."""
+    per = said.groupBy("doc", "subject").agg(F.count(F.lit(1)).alias("n_subject"))
+    per = per.withColumn("n_doc", F.sum("n_subject").over(Window.partitionBy("doc")))
+    own = edge.join(said.withColumnRenamed("subject", "own"), ["doc", "sentence"], "left").select("doc", "term", "own")
+    others = F.col("n_doc") - F.col("own").isNotNull().cast("int")
+    here = F.coalesce((F.col("own") == F.col("subject")).cast("int"), F.lit(0))
+    return own.join(per, "doc").filter(others > 0).groupBy("term", "subject").agg(F.sum((F.col("n_subject") - here) / others).alias("n")).filter("n > 0")
+
+
+def subjects(documents: DataFrame, labels: DataFrame, share: float = 0.25, rounds: int = 5, least: int = 3, lift: float = 3.0, ratio: float = 10.0, clamp: float = 1.0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Subjects of every document.
 
     labels: (doc_id, subject), one row per rater; nulls are left out, labels of unknown documents are not
@@ -55,8 +107,10 @@ def subjects(documents: DataFrame, labels: DataFrame, share: float = 0.25, round
     subject and sentences with any subject.
     """
     docs = documents.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).dropDuplicates(["doc"])
-    cut = docs.select("doc", F.posexplode(sentences(F.col("text"))).alias("sentence", "s"))
-    edge = materialize(cut.select("doc", "sentence", F.explode(terms(F.col("s"))).alias("term")), "edges")
+    tongue = language(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}]+"), F.lit(0))))
+    cut = docs.select("doc", tongue.alias("lang"), F.posexplode(sentences(F.col("text"))).alias("sentence", "s"))
+    edge = cut.select("doc", "sentence", F.explode(terms(F.col("s"))).alias("term"), "lang")
+    edge = materialize(edge.select("doc", "sentence", F.concat("lang", F.lit(":"), "term").alias("term")), "edges")
     given = labels.filter("doc_id is not null and subject is not null").select(F.col("doc_id").cast("long").alias("doc"), "subject")
     votes = given.groupBy("doc", "subject").agg(F.count(F.lit(1)).alias("votes"))
     seeds = materialize(votes.withColumn("n", F.col("votes") / F.sum("votes").over(Window.partitionBy("doc"))), "seeds")
@@ -74,8 +128,9 @@ def subjects(documents: DataFrame, labels: DataFrame, share: float = 0.25, round
         if step == rounds - 1:
             break
         # sentences -> terms
-        again = edge.join(said, ["doc", "sentence"]).groupBy("term", "subject").agg(F.count(F.lit(1)).cast("double").alias("n"))
-        tied = materialize(_tied(again, 2 * least, lift, ratio), "terms")
+        again = _around(edge, said)
+        grown = materialize(_tied(again, 3 * least, lift, ratio), "terms")
+        tied = materialize(grown.unionByName(_borrowed(edge, said, grown, 3 * least).join(grown.select("term").distinct(), "term", "left_anti")), "terms")
     n = said.groupBy("doc", "subject").agg(F.count(F.lit(1)).alias("sentences"))
     n = n.withColumn("of", F.sum("sentences").over(Window.partitionBy("doc")))
     return n.filter(F.col("sentences") >= share * F.col("of")).select(F.col("doc").alias("doc_id"), "subject", "sentences", "of")
