@@ -95,25 +95,30 @@ def _index(sets: DataFrame, weight: np.ndarray) -> DataFrame:
 
 
 def _met(postings: DataFrame, crowd: int, near: int) -> DataFrame:
-    """Pairs met in the lists of the index: (a, b, crowded).
+    """Rows of the lists of the index: (a, b, crowded).
 
-    A list of up to ``crowd`` records gives all its pairs; in a longer one every record meets its ``near``
-    followers, and the pair is marked so that the caller can settle the rest.
+    A list of up to ``crowd`` records gives all its pairs (a, b). In a longer one every record meets its
+    ``near`` followers, and its members are listed as (key, record) rows, marked, so that the caller can
+    settle the rest.
     """
 
+    def rows(a: np.ndarray, b: np.ndarray, crowded: bool) -> Iterator[pa.RecordBatch]:
+        for lo in range(0, len(a), 200_000):
+            x, y = a[lo : lo + 200_000], b[lo : lo + 200_000]
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(np.full(len(x), crowded))], names=["a", "b", "crowded"])
+
     def pairs(key: np.ndarray, ident: np.ndarray) -> Iterator[pa.RecordBatch]:
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        long = np.repeat(np.diff(np.r_[start, len(key)]), np.diff(np.r_[start, len(key)])) > crowd
+        size = np.diff(np.r_[start, len(key)])
+        long = np.repeat(size, size) > crowd
+        yield from rows(key[long], ident[long], True)
         for k in range(1, max(crowd, near + 1)):
             at = np.flatnonzero(key[:-k] == key[k:]) if k < len(key) else np.empty(0, np.int64)
             if not len(at):
                 return
             if k > near:
                 at = at[~long[at]]
-            for lo in range(0, len(at), 200_000):
-                i = at[lo : lo + 200_000]
-                x, y = ident[i], ident[i + k]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(long[i])], names=["a", "b", "crowded"])
+            yield from rows(np.minimum(ident[at], ident[at + k]), np.maximum(ident[at], ident[at + k]), False)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest_k, rest_i = np.empty(0, np.int64), np.empty(0, np.int64)
@@ -150,34 +155,44 @@ def near_duplicates(records: DataFrame, similarity: float = 0.8, minimum: int =
     """
     words = F.array_sort(F.array_distinct(F.filter("words", lambda w: w.isNotNull())))
     hashed = records.filter("id is not null").select(F.col("id").cast("long").alias("id"), F.transform(words, lambda w: F.xxhash64(w)).alias("words")).filter(F.size("words") > 0).dropDuplicates(["id"])
-    hashed = hashed.select("id", "words", F.xxhash64(F.array_sort("words")).alias("h"))
-    member = materialize(hashed.groupBy("h").agg(F.min("id").alias("representative"), F.min_by("words", "id").alias("words")), "sets")
-    ids = materialize(hashed.select("id", "h"), "members")
-    sets = member.select(F.col("representative").alias("id"), "words")
-    count = member.count()
+    hashed = materialize(hashed.select("id", "words", F.xxhash64(F.array_sort("words")).alias("h")), "records")
+    classes = materialize(hashed.groupBy("h").agg(F.min("id").alias("representative")), "classes")
+    ids = hashed.select("id", "h")
+    sets = materialize(hashed.select("id", "words").join(classes.select(F.col("representative").alias("id")), "id", "left_semi"), "sets")
+    count = sets.count()
     weight = np.sqrt(np.maximum(0.02, np.log(max(count, 2) / document_frequencies(sets))))
     postings = _index(sets, weight)
-    met = _met(postings, crowd, near).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.bool_or("crowded").alias("crowded")).filter(F.col("shared") >= minimum)
-    met = materialize(met, "candidates")
-    links = materialize(_verified(met.select("a", "b"), sets, similarity), "links")
-    if not met.filter("crowded").isEmpty():
-        links = materialize(_settle(postings, links, sets, similarity, crowd), "links")
+    met = materialize(_met(postings, crowd, near).groupBy("a", "b", "crowded").agg(F.count(F.lit(1)).alias("shared")), "met")
+    pair = met.filter("not crowded").select("a", "b", "shared")
+    member = met.filter("crowded").select(F.col("a").alias("key"), F.col("b").alias("id"))
+    links = materialize(_verified(pair.filter(F.col("shared") >= minimum).select("a", "b"), sets, similarity), "links")
+    if not member.isEmpty():
+        links = materialize(_settle(pair.filter(F.col("shared") < minimum), materialize(member, "crowds"), links, sets, similarity, minimum), "links")
     group = components(links)
     degree = links.select(F.col("a").alias("representative")).union(links.select("b")).groupBy("representative").agg(F.count(F.lit(1)).alias("links"))
-    out = ids.join(member.select("h", "representative"), "h").join(group.withColumnRenamed("node", "representative"), "representative", "left").join(degree, "representative", "left")
+    out = ids.join(classes, "h").join(group.withColumnRenamed("node", "representative"), "representative", "left").join(degree, "representative", "left")
     return out.select("id", F.coalesce("component", "representative").alias("class_id"), "representative", F.coalesce("links", F.lit(0)).alias("links"))
 
 
-def _settle(postings: DataFrame, links: DataFrame, sets: DataFrame, similarity: float, crowd: int) -> DataFrame:
-    """Links of records that a long list holds outside its main group: each is compared with the whole list."""
-    group = components(links)
-    lists = materialize(postings.join(group.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")), "lists")
-    sizes = lists.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("key").agg(F.sum("n").alias("all"), F.max_by("component", F.struct("n", "component")).alias("main")).filter(F.col("all") > crowd)
+def _settle(few: DataFrame, member: DataFrame, links: DataFrame, sets: DataFrame, similarity: float, minimum: int) -> DataFrame:
+    """Links that crowded lists would have given.
+
+    A crowded list that two records share counts for the pair. Pairs met too rarely in other lists are
+    taken up if they share enough crowded ones as well; and every record that is not in the main group of
+    its crowded list is held against the list's other members, if the two share enough crowded lists.
+    """
+    in_crowd = member.groupBy("id").agg(F.count(F.lit(1)).alias("lists"))
+    other = few.join(member.select(F.col("id").alias("a"), "key"), "a").join(member.select(F.col("id").alias("b"), F.col("key").alias("k")), "b").filter("key = k")
+    mixed_pairs = other.groupBy("a", "b").agg((F.max("shared") + F.count(F.lit(1))).alias("n")).filter(F.col("n") >= minimum).select("a", "b")
+    often = member.join(in_crowd.filter(F.col("lists") >= minimum).select("id"), "id")
+    group = components(links).withColumnRenamed("node", "id")
+    lists = materialize(often.join(group, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "lists")
+    main = lists.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
     outside = lists.join(main, "key").filter(F.col("component") != F.col("main")).select("key", F.col("id").alias("x"), F.col("component").alias("cx"))
-    rest = outside.join(lists.join(main.select("key"), "key"), "key").filter(F.col("component") != F.col("cx"))
-    pairs = rest.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-    return links.unionByName(_verified(pairs, sets, similarity)).dropDuplicates(["a", "b"])
+    rest = outside.join(lists, "key").filter(F.col("component") != F.col("cx"))
+    pairs = rest.select("key", F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct().groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= minimum)
+    more = mixed_pairs.union(pairs.select("a", "b")).distinct()
+    return links.unionByName(_verified(more, sets, similarity)).dropDuplicates(["a", "b"])
 
 
 def title_words(title: Column, summary: Column, address: Column) -> Column:
