@@ -2,8 +2,9 @@
 
 A record is the set of its distinct words. Its signature is a row of byte positions: position k holds one
 byte of the smallest of the words' random numbers, drawn so that rarer words win more often (weight: root
-of the inverse document frequency). Two records agree in a position with the probability of their weighted
-similarity, else by chance in one of 256. The inverted index lists records under groups of positional
+of the inverse document frequency, kept between 0.5 and 1.6 so that rare edits cannot outweigh what a crowd
+of copies shares). Two records agree in a position with the probability of their weighted similarity, else
+by chance in one of 256. The inverted index lists records under groups of positional
 bytes; for every pair met there the groups they share are tallied, pairs below the minimum are dropped
 and the rest is verified on the words themselves. Identical word sets are one class from the start.
 
@@ -160,7 +161,7 @@ def near_duplicates(records: DataFrame, similarity: float = 0.8, minimum: int =
     ids = hashed.select("id", "h")
     sets = materialize(hashed.select("id", "words").join(classes.select(F.col("representative").alias("id")), "id", "left_semi"), "sets")
     count = sets.count()
-    weight = np.sqrt(np.maximum(0.02, np.log(max(count, 2) / document_frequencies(sets))))
+    weight = np.clip(np.sqrt(np.maximum(0.0, np.log(max(count, 2) / document_frequencies(sets)))), 0.5, 1.6)
     postings = _index(sets, weight)
     met = materialize(_met(postings, crowd, near).groupBy("a", "b", "crowded").agg(F.count(F.lit(1)).alias("shared")), "met")
     pair = met.filter("not crowded").select("a", "b", "shared")

@@ -130,7 +130,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p10_subjects(spark: SparkSession, d: str) -> DataFrame:
     """Subjects of every document with the sentences they hold."""
-    return subjects.subjects(_read(spark, d, "documents"), _read(spark, d, "subject_labels"))
+    return subjects.subjects(_read(spark, d, "documents"), _read(spark, d, "subject_labels"), _read(spark, d, "subject_areas"))
 
 
 _SITE = "nullif(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(source_domain), '\\s+', '', 'g'), ':[0-9]*$', ''), '\\.+$', ''), '^www\\.', ''), '')"

@@ -82,10 +82,22 @@ def _tied(counts: DataFrame, least: int, lift: float, ratio: float) -> DataFrame
     t = counts.withColumn("lang", lang).withColumn("n_term", F.sum("n").over(own)).filter(F.col("n_term") >= least).join(F.broadcast(prior), ["lang", "subject"])
     p = F.col("n") / F.col("n_term")
     t = t.withColumn("lift", p / F.col("prior")).withColumn("g", 2 * F.col("n") * F.log(p / F.col("prior")))
-    t = t.withColumn("best", F.max("lift").over(own)).withColumn("top", F.max("g").over(own)).filter((F.col("best") >= lift) & (F.col("top") >= ratio))
+    t = t.withColumn("p", p).withColumn("best", F.max("lift").over(own)).withColumn("most", F.max("p").over(own)).withColumn("top", F.max("g").over(own))
+    # where subjects are few no lift is large: then a clear majority does
+    t = t.filter((F.col("top") >= ratio) & ((F.col("best") >= lift) | ((F.col("best") >= lift / 2) & (F.col("most") >= 0.6))))
     return t.filter("lift > 1").select("term", "subject", F.log("lift").alias("weight"))
 
 
+def _described(edge: DataFrame, areas: DataFrame) -> DataFrame:
+    """Corpus terms that the descriptions of the subjects name, as weak first evidence."""
+    key = lambda c: F.coalesce(stem(c), F.lower(c))
+    said = areas.filter("subject is not null").select("subject", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("description"), F.lit(r"\p{L}{3,}"), F.lit(0)))).alias("w")).filter(~F.col("w").isin("and", "the", "for", "with"))
+    only = said.select("subject", key(F.col("w")).alias("key")).distinct()
+    only = only.join(only.groupBy("key").count().filter("count = 1").select("key"), "key")
+    own = edge.select("term").distinct().select("term", key(F.substring("term", 4, 100)).alias("key"))
+    return own.join(only, "key").select("term", "subject", F.lit(1.0).alias("weight"))
+
+
 def _around(edge: DataFrame, said: DataFrame) -> DataFrame:
     """(term, subject, n): subjects of the other sentences of the documents that hold the term; each occurrence counts once."""
     per = said.groupBy("doc", "subject").agg(F.count(F.lit(1)).alias("n_subject"))
@@ -96,11 +108,11 @@ def _around(edge: DataFrame, said: DataFrame) -> DataFrame:
     return own.join(per, "doc").filter(others > 0).groupBy("term", "subject").agg(F.sum((F.col("n_subject") - here) / others).alias("n")).filter("n > 0")
 
 
-def subjects(documents: DataFrame, labels: DataFrame, share: float = 0.25, rounds: int = 5, least: int = 3, lift: float = 3.0, ratio: float = 10.0, clamp: float = 1.0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame | None = None, share: float = 0.25, rounds: int = 5, least: int = 3, lift: float = 3.0, ratio: float = 10.0, clamp: float = 1.0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Subjects of every document.
 
     labels: (doc_id, subject), one row per rater; nulls are left out, labels of unknown documents are not
-    used. share: a subject is kept if it holds at least this share of the sentences that have a subject.
+    used. areas: (subject, description), whose words give first evidence where labels are few. share: a subject is kept if it holds at least this share of the sentences that have a subject.
     rounds: propagation rounds. least, lift, ratio: what verifies a term. clamp: advantage of a subject
     that raters agree on in the sentences of its document. Rows without id and null or blank texts have no
     subject; repeated ids count once. Returns (doc_id, subject, sentences, of): sentences about the
@@ -117,7 +129,11 @@ def subjects(documents: DataFrame, labels: DataFrame, share: float = 0.25, round
     trusted = seeds.filter("votes > 1").select("doc", "subject", F.lit(clamp).alias("hold"))
     # labelled documents -> terms; the labels are a small side, Spark picks the join by its size
     first = edge.select("doc", "term").distinct().join(seeds.select("doc", "subject", "n"), "doc").groupBy("term", "subject").agg(F.sum("n").alias("n"))
-    tied = materialize(_tied(first, least, lift, ratio), "terms")
+    tied = _tied(first, least, lift, ratio)
+    if areas is not None:
+        tied = materialize(tied, "labelled")
+        tied = tied.unionByName(_described(edge, areas).join(tied.select("term").distinct(), "term", "left_anti"))
+    tied = materialize(tied, "terms")
     said = None
     for step in range(rounds):
         # terms -> sentences
