@@ -9,14 +9,22 @@ nothing. Labels then travel along the edges by joins: from labelled documents to
 sentences, from sentences back to terms, with the labels that raters agree on held fast. A sentence takes
 the subject with the strongest evidence or none; a document keeps every subject that holds enough of its
 sentences.
+
+Edges are stored bucketed by document. Every step of a round that belongs to a document (sentence scores,
+its subjects, what the other sentences say) then joins and aggregates inside a bucket; only counts per
+term and subject, combined before they move, are shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newsloom.cut import materialize
+from newsloom.cut import materialize, shared_dir
+
+CODES = {"en": 0, "de": 1, "es": 2, "fr": 3}
 
 
 def sentences(text: Column) -> Column:
@@ -40,7 +48,7 @@ def stem(term: Column) -> Column:
     return F.when(F.length(term) >= 5, F.substring(F.translate(F.lower(term), ACCENTED, PLAIN), 1, 5))
 
 
-def _borrowed(edge: DataFrame, said: DataFrame, tied: DataFrame, least: int) -> DataFrame:
+def _borrowed(edge: DataFrame, said: DataFrame, tied: DataFrame, vocabulary: DataFrame, least: int) -> DataFrame:
     """Weights for terms of texts that no label reached, taken from their cognates.
 
     Only a term that occurs almost nowhere in a sentence with a subject borrows: a word in a language
@@ -48,8 +56,9 @@ def _borrowed(edge: DataFrame, said: DataFrame, tied: DataFrame, least: int) ->
     subject holds most of its weight.
     """
     use = edge.join(said.select("doc", "sentence", F.lit(1).alias("has")), ["doc", "sentence"], "left").groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.count("has").alias("n_has"))
-    orphan = use.filter((F.col("n") >= least) & (F.col("n_has") <= 0.2 * F.col("n"))).select("term", stem(F.substring(F.col("term"), 4, 100)).alias("stem")).filter("stem is not null")
-    lent = tied.select(stem(F.substring(F.col("term"), 4, 100)).alias("stem"), "subject", "weight").filter("stem is not null").groupBy("stem", "subject").agg(F.max("weight").alias("weight"), F.sum("weight").alias("w"))
+    stems = vocabulary.select("term", stem(F.col("word")).alias("stem")).filter("stem is not null")
+    orphan = use.filter((F.col("n") >= least) & (F.col("n_has") <= 0.2 * F.col("n"))).join(stems, "term").select("term", "stem")
+    lent = tied.join(stems, "term").select("stem", "subject", "weight").groupBy("stem", "subject").agg(F.max("weight").alias("weight"), F.sum("weight").alias("w"))
     lent = lent.withColumn("all", F.sum("w").over(Window.partitionBy("stem"))).filter(F.col("w") >= 0.7 * F.col("all"))
     return orphan.join(lent, "stem").select("term", "subject", (0.5 * F.col("weight")).alias("weight"))
 
@@ -67,7 +76,32 @@ def language(words: Column) -> Column:
     """The language whose function words a text holds most of; English where none is ahead."""
     n = {k: F.size(F.array_intersect(words, F.array(*map(F.lit, v.split())))) for k, v in MARKERS.items()}
     best = F.greatest(*n.values())
-    return F.when(n["en"] == best, "en").when(n["de"] == best, "de").when(n["es"] == best, "es").otherwise("fr")
+    return F.when(n["en"] == best, CODES["en"]).when(n["de"] == best, CODES["de"]).when(n["es"] == best, CODES["es"]).otherwise(CODES["fr"])
+
+
+def _by_document(df: DataFrame, label: str) -> DataFrame:
+    """Store a table bucketed by document in the shared folder."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{label}_{uuid.uuid4().hex[:12]}"
+    df.repartition(n, "doc").write.format("parquet").option("path", f"{shared_dir(spark)}/newsloom/{name}").bucketBy(n, "doc").sortBy("doc", "sentence").saveAsTable(name)
+    return spark.table(name)
+
+
+class _InBuckets:
+    """Let joins on (doc, sentence) use tables bucketed by doc alone; the session's setting comes back afterwards."""
+
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self) -> None:
+        self.before = self.spark.conf.get(self.key)
+        self.spark.conf.set(self.key, "false")
+
+    def __exit__(self, *_: object) -> None:
+        self.spark.conf.set(self.key, self.before)
 
 
 def _tied(counts: DataFrame, least: int, lift: float, ratio: float) -> DataFrame:
@@ -76,7 +110,7 @@ def _tied(counts: DataFrame, least: int, lift: float, ratio: float) -> DataFrame
     weight is the log of how much likelier the subject is with the term than without knowledge of it.
     """
     own = Window.partitionBy("term")
-    lang = F.substring("term", 1, 2)
+    lang = F.col("term").bitwiseAND(F.lit(3))  # the language is kept in the last two bits of a term's number
     total = counts.groupBy(lang.alias("lang"), "subject").agg(F.sum("n").alias("n_subject"))
     prior = total.withColumn("prior", F.col("n_subject") / F.sum("n_subject").over(Window.partitionBy("lang"))).select("lang", "subject", "prior")  # one row per language and subject
     t = counts.withColumn("lang", lang).withColumn("n_term", F.sum("n").over(own)).filter(F.col("n_term") >= least).join(F.broadcast(prior), ["lang", "subject"])
@@ -88,13 +122,13 @@ def _tied(counts: DataFrame, least: int, lift: float, ratio: float) -> DataFrame
     return t.filter("lift > 1").select("term", "subject", F.log("lift").alias("weight"))
 
 
-def _described(edge: DataFrame, areas: DataFrame) -> DataFrame:
+def _described(vocabulary: DataFrame, areas: DataFrame) -> DataFrame:
     """Corpus terms that the descriptions of the subjects name, as weak first evidence."""
     key = lambda c: F.coalesce(stem(c), F.lower(c))
     said = areas.filter("subject is not null").select("subject", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("description"), F.lit(r"\p{L}{3,}"), F.lit(0)))).alias("w")).filter(~F.col("w").isin("and", "the", "for", "with"))
     only = said.select("subject", key(F.col("w")).alias("key")).distinct()
     only = only.join(only.groupBy("key").count().filter("count = 1").select("key"), "key")
-    own = edge.select("term").distinct().select("term", key(F.substring("term", 4, 100)).alias("key"))
+    own = vocabulary.select("term", key(F.col("word")).alias("key"))
     return own.join(only, "key").select("term", "subject", F.lit(1.0).alias("weight"))
 
 
@@ -119,10 +153,13 @@ def subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame | None =
     subject and sentences with any subject.
     """
     docs = documents.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).dropDuplicates(["doc"])
-    tongue = language(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{M}]+"), F.lit(0))))
-    cut = docs.select("doc", tongue.alias("lang"), F.posexplode(sentences(F.col("text"))).alias("sentence", "s"))
-    edge = cut.select("doc", "sentence", F.explode(terms(F.col("s"))).alias("term"), "lang")
-    edge = materialize(edge.select("doc", "sentence", F.concat("lang", F.lit(":"), "term").alias("term")), "edges")
+    parts = docs.select("doc", F.transform(sentences(F.col("text")), terms).alias("parts"))
+    tongue = language(F.array_distinct(F.transform(F.flatten("parts"), F.lower)))
+    said_words = parts.select("doc", tongue.alias("lang"), F.posexplode("parts").alias("sentence", "words")).select("doc", "lang", "sentence", F.explode("words").alias("word"))
+    number = F.xxhash64("word").bitwiseAND(F.lit(-4)).bitwiseOR(F.col("lang").cast("long"))
+    written = materialize(said_words.select("doc", "sentence", "word", number.alias("term")), "words")
+    edge = _by_document(written.select("doc", "sentence", "term"), "edges")
+    vocabulary = materialize(written.groupBy("term").agg(F.min("word").alias("word")), "vocabulary")
     given = labels.filter("doc_id is not null and subject is not null").select(F.col("doc_id").cast("long").alias("doc"), "subject")
     votes = given.groupBy("doc", "subject").agg(F.count(F.lit(1)).alias("votes"))
     seeds = materialize(votes.withColumn("n", F.col("votes") / F.sum("votes").over(Window.partitionBy("doc"))), "seeds")
@@ -132,7 +169,7 @@ def subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame | None =
     tied = _tied(first, least, lift, ratio)
     if areas is not None:
         tied = materialize(tied, "labelled")
-        tied = tied.unionByName(_described(edge, areas).join(tied.select("term").distinct(), "term", "left_anti"))
+        tied = tied.unionByName(_described(vocabulary, areas).join(tied.select("term").distinct(), "term", "left_anti"))
     tied = materialize(tied, "terms")
     said = None
     for step in range(rounds):
@@ -140,13 +177,16 @@ def subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame | None =
         heard = edge.join(tied, "term").groupBy("doc", "sentence", "subject").agg(F.sum("weight").alias("score"))
         heard = heard.join(trusted, ["doc", "subject"], "left").withColumn("score", F.col("score") + F.coalesce("hold", F.lit(0.0)))
         said = heard.groupBy("doc", "sentence").agg(F.max_by("subject", F.struct("score", "subject")).alias("subject"))
-        said = materialize(said, "sentences")
+        with _InBuckets(documents.sparkSession):
+            said = _by_document(said, "sentences")
         if step == rounds - 1:
             break
         # sentences -> terms
         again = _around(edge, said)
-        grown = materialize(_tied(again, 3 * least, lift, ratio), "terms")
-        tied = materialize(grown.unionByName(_borrowed(edge, said, grown, 3 * least).join(grown.select("term").distinct(), "term", "left_anti")), "terms")
+        with _InBuckets(documents.sparkSession):
+            grown = materialize(_tied(again, 3 * least, lift, ratio), "terms")
+            borrowed = _borrowed(edge, said, grown, vocabulary, 3 * least).join(grown.select("term").distinct(), "term", "left_anti")
+            tied = materialize(grown.unionByName(borrowed), "terms")
     n = said.groupBy("doc", "subject").agg(F.count(F.lit(1)).alias("sentences"))
     n = n.withColumn("of", F.sum("sentences").over(Window.partitionBy("doc")))
     return n.filter(F.col("sentences") >= share * F.col("of")).select(F.col("doc").alias("doc_id"), "subject", "sentences", "of")
