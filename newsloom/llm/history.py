@@ -114,8 +114,8 @@ def deduplicate_batches(df: DataFrame, batch: str, ident: str, content: Column,
     rows = src.select(F.col(ident).alias("id"), F.col(batch).alias("batch"), F.explode(cells).alias("c")).filter(F.col("c.text").isNotNull())
     rows = materialize(rows.select("id", "batch", "c.kind", _hash(F.col("c.text")).alias("h")).distinct(), "hashes")
     keys = rows.groupBy("batch", "kind", "h").agg(F.min("id").alias("content_id"))
-    keyed = f"{history.name}_keys"
-    history._write(keys, keyed, f"{history.path}_keys", parted=True)
+    keyed = f"{history.name}_keys_{uuid.uuid4().hex[:8]}"  # of this run only
+    history._write(keys, keyed, f"{shared_dir(spark)}/newsloom/{keyed}", parted=True)
     table = spark.table(keyed)
     # the list of batches: a handful of values
     met = [history.accept(table.filter(F.col("batch") == b)) for (b,) in sorted(src.select(F.col(batch)).distinct().collect())]
