@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 
 def sha_id(c: Column) -> Column:
@@ -21,14 +24,23 @@ def split_name(c: Column, valid: int = 1, of: int = 10) -> Column:
     return F.when(hash_bucket(c, of) < valid, "valid").otherwise("train")
 
 
+@F.pandas_udf(LongType())
+def _majority(hashes: pd.Series) -> pd.Series:
+    size = hashes.map(len).to_numpy()
+    out = np.full(len(hashes), -1, np.int64)
+    some = np.flatnonzero(size)
+    if len(some):
+        flat = np.concatenate([np.asarray(hashes.iloc[k], np.int64) for k in some])
+        bits = np.unpackbits(flat.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int32) * 2 - 1
+        votes = np.add.reduceat(bits, np.r_[0, np.cumsum(size[some])[:-1]], axis=0) >= 0
+        out[some] = np.packbits(votes, axis=1, bitorder="little").view(np.int64).ravel()
+    return pd.Series(out)
+
+
 def simhash(tokens: Column) -> Column:
-    """64-bit SimHash of an array of tokens: every bit is the majority of the tokens' hash bits, ties are set."""
-    h = F.transform(tokens, lambda t: F.xxhash64(t))
-    bit = lambda k: F.when(F.aggregate(h, F.lit(0), lambda a, x: a + F.when(F.shiftright(x, k).bitwiseAND(F.lit(1)) == 1, 1).otherwise(-1)) >= 0, F.shiftleft(F.lit(1).cast("long"), k)).otherwise(F.lit(0).cast("long"))
-    out = bit(0)
-    for k in range(1, 64):
-        out = out.bitwiseOR(bit(k))
-    return out
+    """64-bit SimHash of an array of tokens: every bit is the majority of the tokens' hash bits, ties are set; null gives null."""
+    empty = F.array().cast("array<bigint>")
+    return F.when(tokens.isNotNull(), _majority(F.coalesce(F.transform(tokens, lambda t: F.xxhash64(t)), empty)))
 
 
 def hamming(a: Column, b: Column) -> Column:

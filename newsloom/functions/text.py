@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,22 +32,33 @@ def match_form(c: Column) -> Column:
     return collapse(F.translate(ascii_upper(F.coalesce(c, F.lit(""))), PUNCTUATION, " " * len(PUNCTUATION)))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def contains_any(c: Column, terms: Sequence[str]) -> Column:
     """Whether the upper-cased text holds any of the terms; null text holds none."""
-    text = ascii_upper(F.coalesce(c, F.lit("")))
-    out = F.lit(False)
-    for t in terms:
-        out = out | F.contains(text, F.lit(t))
-    return out
+
+    def any_of(t: Column) -> Column:
+        out = F.lit(False)
+        for term in terms:
+            out = out | F.contains(t, F.lit(term))
+        return out
+
+    return bound(ascii_upper(F.coalesce(c, F.lit(""))), any_of)
 
 
 def term_hits(c: Column, terms: Sequence[str]) -> Column:
     """Number of the terms that the upper-cased text holds as substrings."""
-    text = ascii_upper(F.coalesce(c, F.lit("")))
-    out = F.lit(0)
-    for t in terms:
-        out = out + F.contains(text, F.lit(t)).cast("int")
-    return out
+
+    def count(t: Column) -> Column:
+        out = F.lit(0)
+        for term in terms:
+            out = out + F.contains(t, F.lit(term)).cast("int")
+        return out
+
+    return bound(ascii_upper(F.coalesce(c, F.lit(""))), count)
 
 
 def cue_hits(form: Column, cues: Column) -> Column:

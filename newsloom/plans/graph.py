@@ -49,8 +49,19 @@ def match_factors(docs: DataFrame, rules: Sequence[tuple[str, str]], key: str =
     by: dict[str, list[str]] = {}
     for label, pattern in rules:
         by.setdefault(label, []).append(pattern)
-    found = [F.when(text.contains_any(F.col("match_text"), p), F.lit(label)) for label, p in sorted(by.items())]
-    return docs.select(key, F.explode(F.array_compact(F.array(*found))).alias("factor_label")) if found else docs.select(key, F.lit("").alias("factor_label")).filter("false")
+    if not by:
+        return docs.select(key, F.lit("").alias("factor_label")).filter("false")
+
+    def labels(t: Column) -> Column:
+        found = []
+        for label, patterns in sorted(by.items()):
+            hit = F.lit(False)
+            for p in patterns:
+                hit = hit | F.contains(t, F.lit(p))
+            found.append(F.when(hit, F.lit(label)))
+        return F.array_compact(F.array(*found))
+
+    return docs.select(key, F.explode(text.bound(F.coalesce("match_text", F.lit("")), labels)).alias("factor_label"))
 
 
 def mentions(docs: DataFrame, matches: DataFrame, key: str = "doc_key") -> DataFrame:
