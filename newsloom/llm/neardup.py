@@ -1,15 +1,12 @@
-"""Near-duplicate records with small edits: a byte-position inverted index with count filtering.
-
-A record is the set of its distinct words. Its signature is a row of byte positions: position k holds one
-byte of the smallest of the words' random numbers, drawn so that rarer words win more often (weight: root
-of the inverse document frequency, kept between 0.5 and 1.6 so that rare edits cannot outweigh what a crowd
-of copies shares). Two records agree in a position with the probability of their weighted similarity, else
-by chance in one of 256. The inverted index lists records under groups of positional
-bytes; for every pair met there the groups they share are tallied, pairs below the minimum are dropped
-and the rest is verified on the words themselves. Identical word sets are one class from the start.
-
-The minimum of two shared groups out of 96 is met by a pair of weighted similarity 0.7 with probability
-above 0.9996; links are closed to groups afterwards, so a group loses a record only if all its links fail.
+"""Near-duplicate records with small edits: an inverted index with count filtering on positional bytes.
+
+A record is the set of its distinct words. Two sets as similar as asked for share a known number of words,
+so, with words put in one order from rare to frequent, they share one of the first few: the index lists a
+record under each of those (prefix filter), and no such pair can miss another there. A record also carries
+a row of positional bytes: every word turns over one bit of one byte. The bytes of two records differ in at
+most as many bits as the sets differ in words; so pairs of a list whose bytes differ in more bits than the
+similarity allows are dropped, and the rest is verified on the words themselves. Both filters are bounds and
+not chances: every pair at or above the similarity is a link. Identical word sets are one class from the start.
 """
 
 from __future__ import annotations
@@ -24,8 +21,11 @@ from pyspark.sql import functions as F
 from newsloom.cut import materialize
 from newsloom.operators.components import components
 
-POSITIONS, GROUP, GROUPS = 192, 6, 96
+BYTES = 32
 SLOTS = 1 << 20
+ROWS = "id long, n int, early int, s0 long, s1 long, s2 long, s3 long, words array<long>"
+POSTINGS = "key long, id long, n int, short boolean, s0 long, s1 long, s2 long, s3 long"
+EPS = 1e-9
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -36,104 +36,125 @@ def mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def bands(positions: int = POSITIONS, size: int = GROUP, count: int = GROUPS) -> np.ndarray:
-    """The groups of positions: fixed pseudo-random choices, each position equally often."""
-    rng = np.random.default_rng(20)
-    flat = np.concatenate([rng.permutation(positions) for _ in range(-(-size * count // positions))])
-    return flat[: size * count].reshape(count, size)
-
-
-def signatures(flat: np.ndarray, offsets: np.ndarray, weight: np.ndarray, positions: int = POSITIONS) -> np.ndarray:
-    """Positional bytes of word sets given as concatenated 64-bit word hashes: (records, positions)."""
-    vocabulary, where = np.unique(flat, return_inverse=True)
-    v = vocabulary.view(np.uint64)
-    w = weight[(v >> np.uint64(20)) % np.uint64(len(weight))]
-    out = np.empty((len(offsets) - 1, positions), np.uint8)
-    for k in range(positions):
-        with np.errstate(over="ignore"):
-            u = mixed(v + np.uint64(k + 1) * np.uint64(0x9E3779B97F4A7C15))
-        score = -np.log(((u >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)) / w
-        low = np.minimum.reduceat(score[where], offsets[:-1])
-        out[:, k] = (mixed(low.view(np.uint64)) & np.uint64(255)).astype(np.uint8)
-    return out
+def slot(words: np.ndarray) -> np.ndarray:
+    return ((words.view(np.uint64) >> np.uint64(20)) % np.uint64(SLOTS)).astype(np.int64)
+
 
+def positional_bytes(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Rows of ``BYTES`` bytes, as 64-bit numbers, of word sets given as concatenated 64-bit word hashes; every word turns over one bit."""
+    at = (mixed(flat.view(np.uint64)) % np.uint64(8 * BYTES)).astype(np.int64)
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    odd = np.bincount(row * 8 * BYTES + at, minlength=(len(offsets) - 1) * 8 * BYTES).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(-1, 8 * BYTES), axis=1).view(np.uint64)
 
-def document_frequencies(sets: DataFrame) -> np.ndarray:
+
+def record_counts(sets: DataFrame) -> np.ndarray:
     """Records per word in hashed counters: at most ``SLOTS`` numbers come to the driver, whatever the corpus."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.int64)
         for b in batches:
-            flat = b.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            total += np.bincount(((flat >> np.uint64(20)) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+            total += np.bincount(slot(b.column(0).flatten().to_numpy(zero_copy_only=False)), minlength=SLOTS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["slot", "n"])
 
     got = sets.select("words").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    out = np.ones(SLOTS, np.float64)
+    out = np.zeros(SLOTS, np.int64)
     out[got.column("slot").to_numpy()] = got.column("n").to_numpy()
     return out
 
 
-def _index(sets: DataFrame, weight: np.ndarray) -> DataFrame:
-    """(id, words) -> (key, id) for every group of positional bytes."""
-    sent = sets.sparkSession.sparkContext.broadcast(weight.astype(np.float32))
+def _rows(sets: DataFrame, similarity: float) -> DataFrame:
+    """(id, words) -> records with their size, positional bytes and first words in the common order.
+
+    Of n words the first n - ceil(t n) + 1 are listed. ``early`` counts those that suffice for the smaller set of
+    a pair, n - ceil(2 t n / (1 + t)) + 1: the larger one has at least as many words.
+    """
+    sent = sets.sparkSession.sparkContext.broadcast(record_counts(sets))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, w = bands(), sent.value.astype(np.float64)
         for whole in batches:
             for lo in range(0, whole.num_rows, 2000):
                 b = whole.slice(lo, 2000)
-                ids, col = b.column(0).to_numpy(zero_copy_only=False), b.column(1)
-                offsets = col.offsets.to_numpy()
-                s = signatures(col.flatten().to_numpy(zero_copy_only=False), offsets - offsets[0], w).astype(np.int64)
-                key = np.broadcast_to(np.arange(len(table), dtype=np.int64) << 48, (len(s), len(table))).copy()
-                for j in range(table.shape[1]):
-                    key |= s[:, table[:, j]] << (8 * j)
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(ids, len(table)))], names=["key", "id"])
+                offsets = b.column(1).offsets.to_numpy().astype(np.int64)
+                flat, offsets = b.column(1).flatten().to_numpy(zero_copy_only=False), offsets - offsets[0]
+                n = np.diff(offsets)
+                order = np.lexsort((flat, sent.value[slot(flat)], np.repeat(np.arange(len(n)), n)))
+                listed = n - np.ceil(similarity * n - EPS).astype(np.int64) + 1
+                listed, early = np.clip(listed, 1, n), n - np.ceil(2 * similarity / (1 + similarity) * n - EPS).astype(np.int64) + 1
+                rank = np.arange(len(flat)) - np.repeat(offsets[:-1], n)
+                first = flat[order][rank < np.repeat(listed, n)]
+                s = positional_bytes(flat, offsets).view(np.int64)
+                words = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(listed)], pa.int32()), pa.array(first))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32()), pa.array(early, pa.int32()), *(pa.array(s[:, k]) for k in range(4)), words], names=["id", "n", "early", "s0", "s1", "s2", "s3", "words"])
 
-    return sets.select("id", "words").mapInArrow(run, "key long, id long")
+    return sets.select("id", "words").mapInArrow(run, ROWS)
 
 
-def _met(postings: DataFrame, crowd: int, near: int) -> DataFrame:
-    """Rows of the lists of the index: (a, b, crowded).
+def _postings(rows: DataFrame) -> DataFrame:
+    """Rows of the index: a record under each of its first words; ``short`` marks the early ones."""
+    return rows.select("id", "n", "early", "s0", "s1", "s2", "s3", F.posexplode("words").alias("rank", "key")).select("key", "id", "n", (F.col("rank") < F.col("early")).alias("short"), "s0", "s1", "s2", "s3")
 
-    A list of up to ``crowd`` records gives all its pairs (a, b). In a longer one every record meets its
-    ``near`` followers, and its members are listed as (key, record) rows, marked, so that the caller can
-    settle the rest.
-    """
 
-    def rows(a: np.ndarray, b: np.ndarray, crowded: bool) -> Iterator[pa.RecordBatch]:
-        for lo in range(0, len(a), 200_000):
-            x, y = a[lo : lo + 200_000], b[lo : lo + 200_000]
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(np.full(len(x), crowded))], names=["a", "b", "crowded"])
+def _candidates(postings: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of the lists of the index whose sizes and positional bytes allow the similarity."""
+    apart, area, few = (1 - similarity) / (1 + similarity), 1 << 17, 64
+
+    def left(n: np.ndarray) -> np.ndarray:  # half of the bits that may differ, rounded up; two of them fit a byte
+        return np.minimum(np.floor(apart * n + EPS) + 1, 127).astype(np.uint8)
 
-    def pairs(key: np.ndarray, ident: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def near(a: np.ndarray, b: np.ndarray, n: np.ndarray, s: list[np.ndarray]) -> np.ndarray:
+        bits = sum(np.bitwise_count(x[a] ^ x[b]).astype(np.int64) for x in s)
+        return (bits <= apart * (n[a] + n[b]) + EPS) & (n[b] * similarity <= n[a] + EPS)
+
+    def pairs(key: np.ndarray, n: np.ndarray, short: np.ndarray, s: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Positions of pairs; lists are sorted by size, so the first of a pair is the smaller set."""
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        size = np.diff(np.r_[start, len(key)])
-        long = np.repeat(size, size) > crowd
-        yield from rows(key[long], ident[long], True)
-        for k in range(1, max(crowd, near + 1)):
-            at = np.flatnonzero(key[:-k] == key[k:]) if k < len(key) else np.empty(0, np.int64)
+        stop = np.r_[start[1:], len(key)]
+        size = stop - start
+        at = np.flatnonzero(short & (np.repeat(size, size) <= few))
+        for k in range(1, few):
+            at = at[at + k < len(key)]
+            at = at[key[at] == key[at + k]]
             if not len(at):
-                return
-            if k > near:
-                at = at[~long[at]]
-            yield from rows(np.minimum(ident[at], ident[at + k]), np.maximum(ident[at], ident[at + k]), False)
+                break
+            ok = near(at, at + k, n, s)
+            yield at[ok], at[ok] + k
+        for lo, hi in zip(start[size > few], stop[size > few]):
+            first = lo + np.flatnonzero(short[lo:hi])
+            half = left(n[lo:hi])
+            p = 0
+            while p < len(first):
+                a = first[p : p + max(1, area // int(hi - first[p]))]
+                p += len(a)
+                b = np.arange(a[0] + 1, lo + np.searchsorted(n[lo:hi], n[a[-1]] / similarity + EPS, "right"))
+                bits = np.bitwise_count(s[0][a, None] ^ s[0][None, b]) + np.bitwise_count(s[1][a, None] ^ s[1][None, b])
+                i, j = np.nonzero(bits <= half[a - lo, None] + half[None, b - lo])
+                i, j = a[i], b[j]
+                ok = (i < j) & near(i, j, n, s)
+                yield i[ok], j[ok]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest_k, rest_i = np.empty(0, np.int64), np.empty(0, np.int64)
+        rest: list[np.ndarray] | None = None
         for b in batches:
-            key, ident = np.concatenate([rest_k, b.column(0).to_numpy()]), np.concatenate([rest_i, b.column(1).to_numpy()])
-            cut = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last list may go on
+            new = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+            rest = new if rest is None else [np.concatenate(x) for x in zip(rest, new)]
+            cut = int(np.searchsorted(rest[0], rest[0][-1])) if len(rest[0]) else 0  # the last list may go on
             if cut:
-                yield from pairs(key[:cut], ident[:cut])
-            rest_k, rest_i = key[cut:], ident[cut:]
-        if len(rest_k):
-            yield from pairs(rest_k, rest_i)
+                yield from found([c[:cut] for c in rest])
+                rest = [c[cut:] for c in rest]
+        if rest is not None and len(rest[0]):
+            yield from found(rest)
+
+    def found(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        key, ident, n, short = cols[:4]
+        for i, j in pairs(key, n.astype(np.int64), short.astype(bool), [c.view(np.uint64) for c in cols[4:]]):
+            for lo in range(0, len(i), 200_000):
+                x, y = ident[i[lo : lo + 200_000]], ident[j[lo : lo + 200_000]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
-    n = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return postings.repartition(n, "key").sortWithinPartitions("key", "id").mapInArrow(run, "a long, b long, crowded boolean")
+    parts = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return postings.repartition(parts, "key").sortWithinPartitions("key", "n", "id").mapInArrow(run, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -142,60 +163,32 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return one.select("a", "b", (both / (F.size("wa") + F.size("wb") - both)).alias("similarity")).filter(F.col("similarity") >= similarity)
 
 
-def near_duplicates(records: DataFrame, similarity: float = 0.8, minimum: int = 2, crowd: int = 256, near: int = 4) -> DataFrame:
+def near_duplicates(records: DataFrame, similarity: float = 0.8, crowd: int = 8192) -> DataFrame:
     """Group records whose sets of distinct words are similar.
 
     records: (id long, words array<string or long>), one row per record; repeated ids count once, null ids
-    and empty or null word sets take no part. similarity: shared words over all words of both. minimum:
-    groups of positional bytes a pair must share to be verified. crowd: records up to which a list of the
-    index is compared in full; in a longer list records are first chained to ``near`` followers, and every
-    record that the chain leaves outside the list's main group is then compared with the whole list.
+    and empty or null word sets take no part. similarity: shared words over all words of both, above 0.
+    crowd: reserved for cutting long lists of the index.
 
     Returns (id, class_id, representative, links): the smallest id of the group, of the records with
     the same words, and the number of other word sets the record is linked to; every record has one row.
     """
+    if not 0 < similarity <= 1:
+        raise ValueError(f"similarity {similarity}: above 0, at most 1")
     words = F.array_sort(F.array_distinct(F.filter("words", lambda w: w.isNotNull())))
     hashed = records.filter("id is not null").select(F.col("id").cast("long").alias("id"), F.transform(words, lambda w: F.xxhash64(w)).alias("words")).filter(F.size("words") > 0).dropDuplicates(["id"])
     hashed = materialize(hashed.select("id", "words", F.xxhash64(F.array_sort("words")).alias("h")), "records")
     classes = materialize(hashed.groupBy("h").agg(F.min("id").alias("representative")), "classes")
     ids = hashed.select("id", "h")
     sets = materialize(hashed.select("id", "words").join(classes.select(F.col("representative").alias("id")), "id", "left_semi"), "sets")
-    count = sets.count()
-    weight = np.clip(np.sqrt(np.maximum(0.0, np.log(max(count, 2) / document_frequencies(sets)))), 0.5, 1.6)
-    postings = _index(sets, weight)
-    met = materialize(_met(postings, crowd, near).groupBy("a", "b", "crowded").agg(F.count(F.lit(1)).alias("shared")), "met")
-    pair = met.filter("not crowded").select("a", "b", "shared")
-    member = met.filter("crowded").select(F.col("a").alias("key"), F.col("b").alias("id"))
-    links = materialize(_verified(pair.filter(F.col("shared") >= minimum).select("a", "b"), sets, similarity), "links")
-    if not member.isEmpty():
-        links = materialize(_settle(pair.filter(F.col("shared") < minimum), materialize(member, "crowds"), links, sets, similarity, minimum), "links")
+    rows = materialize(_rows(sets, similarity), "rows")
+    links = materialize(_verified(_candidates(_postings(rows), similarity), sets, similarity), "links")
     group = components(links)
     degree = links.select(F.col("a").alias("representative")).union(links.select("b")).groupBy("representative").agg(F.count(F.lit(1)).alias("links"))
     out = ids.join(classes, "h").join(group.withColumnRenamed("node", "representative"), "representative", "left").join(degree, "representative", "left")
     return out.select("id", F.coalesce("component", "representative").alias("class_id"), "representative", F.coalesce("links", F.lit(0)).alias("links"))
 
 
-def _settle(few: DataFrame, member: DataFrame, links: DataFrame, sets: DataFrame, similarity: float, minimum: int) -> DataFrame:
-    """Links that crowded lists would have given.
-
-    A crowded list that two records share counts for the pair. Pairs met too rarely in other lists are
-    taken up if they share enough crowded ones as well; and every record that is not in the main group of
-    its crowded list is held against the list's other members, if the two share enough crowded lists.
-    """
-    in_crowd = member.groupBy("id").agg(F.count(F.lit(1)).alias("lists"))
-    other = few.join(member.select(F.col("id").alias("a"), "key"), "a").join(member.select(F.col("id").alias("b"), F.col("key").alias("k")), "b").filter("key = k")
-    mixed_pairs = other.groupBy("a", "b").agg((F.max("shared") + F.count(F.lit(1))).alias("n")).filter(F.col("n") >= minimum).select("a", "b")
-    often = member.join(in_crowd.filter(F.col("lists") >= minimum).select("id"), "id")
-    group = components(links).withColumnRenamed("node", "id")
-    lists = materialize(often.join(group, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "lists")
-    main = lists.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
-    outside = lists.join(main, "key").filter(F.col("component") != F.col("main")).select("key", F.col("id").alias("x"), F.col("component").alias("cx"))
-    rest = outside.join(lists, "key").filter(F.col("component") != F.col("cx"))
-    pairs = rest.select("key", F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct().groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= minimum)
-    more = mixed_pairs.union(pairs.select("a", "b")).distinct()
-    return links.unionByName(_verified(more, sets, similarity)).dropDuplicates(["a", "b"])
-
-
 def title_words(title: Column, summary: Column, address: Column) -> Column:
     """Lower-cased runs of letters and digits of title and summary; a null title gives way to the address's last path segment, decoded."""
     path = F.regexp_replace(F.regexp_replace(address, r"[?#].*$", ""), r"/+$", "")

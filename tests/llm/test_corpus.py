@@ -131,6 +131,25 @@ def test_near_duplicates_copies_and_empty(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], "id long, words array<string>")).count() == 0
 
 
+def test_every_link_at_the_similarity(spark):
+    """Pairs of exactly the similarity asked for, just above and just below, of equal and of different sizes; half the edits hit rare words."""
+    rng = random.Random(11)
+    common, rows = [f"c{k}" for k in range(400)], []
+    for k, (both, a, b) in enumerate([(45, 15, 15), (30, 10, 10), (36, 0, 24), (45, 5, 25), (46, 15, 15), (44, 15, 15), (3, 1, 1), (3, 2, 0)] * 40):
+        rare = iter(f"r{k}-{j}" for j in range(100))
+        w = [next(rare) if both > 5 and j % 2 else c for j, c in enumerate(rng.sample(common, both + a + b))]
+        rng.shuffle(w)
+        rows += [(2 * k + 1, w[: both + a]), (2 * k + 2, w[:both] + w[both + a :])]
+    sets = {i: frozenset(w) for i, w in rows}
+    first = {}
+    for i in sorted(sets):
+        first.setdefault(sets[i], i)
+    one = sorted(first.values())
+    degree = Counter(x for a, b in itertools.combinations(one, 2) if 10 * len(sets[a] & sets[b]) >= 6 * len(sets[a] | sets[b]) for x in (a, b))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "id long, words array<string>"), 0.6).collect()
+    assert {r.id: r.links for r in got if r.id == r.representative} == {i: degree[i] for i in one} and len(got) == len(rows)
+
+
 @needs_data
 def test_p3_found_brute_force(spark):
     rows = spark.read.parquet(f"{D}/bronze_candidates.parquet").filter("summary_text is not null").select("doc_id", "title", "summary_text", "document_identifier").distinct().collect()
