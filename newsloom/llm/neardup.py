@@ -91,9 +91,32 @@ def _rows(sets: DataFrame, similarity: float) -> DataFrame:
     return sets.select("id", "words").mapInArrow(run, ROWS)
 
 
-def _postings(rows: DataFrame) -> DataFrame:
-    """Rows of the index: a record under each of its first words; ``short`` marks the early ones."""
-    return rows.select("id", "n", "early", "s0", "s1", "s2", "s3", F.posexplode("words").alias("rank", "key")).select("key", "id", "n", (F.col("rank") < F.col("early")).alias("short"), "s0", "s1", "s2", "s3")
+def _postings(rows: DataFrame, crowd: int) -> DataFrame:
+    """Rows of the index: a record under each of its first words; ``short`` marks the early ones.
+
+    A list of more than ``crowd`` records is dealt into sub-lists of about that size, and every two of them are
+    one list of the index, so that all its pairs meet, in many tasks.
+    """
+    sent = rows.sparkSession.sparkContext.broadcast(record_counts(rows))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ident, word = b.column(1).to_numpy(), b.column(0).to_numpy()
+            parts = -(-sent.value[slot(word)] // crowd)
+            own = (mixed(ident.view(np.uint64)) % np.maximum(parts, 1).astype(np.uint64)).astype(np.int64)
+            for lo in range(0, len(word), 2000):
+                p = parts[lo : lo + 2000]
+                row = lo + np.repeat(np.arange(len(p)), np.maximum(p - 1, 1))
+                other = np.arange(len(row)) - np.searchsorted(row, row)
+                other += (other >= own[row]) & (parts[row] > 1)
+                low, high = np.minimum(own[row], other), np.maximum(own[row], other)
+                with np.errstate(over="ignore"):
+                    dealt = mixed(word[row].view(np.uint64) ^ mixed((low * np.int64(1 << 31) + high + 1).view(np.uint64))).view(np.int64)
+                key = np.where(parts[row] > 1, dealt, word[row])
+                yield pa.RecordBatch.from_arrays([pa.array(key), *(c.take(pa.array(row)) for c in b.columns[1:])], names=b.schema.names)
+
+    lists = rows.select("id", "n", "early", "s0", "s1", "s2", "s3", F.posexplode("words").alias("rank", "key"))
+    return lists.select("key", "id", "n", (F.col("rank") < F.col("early")).alias("short"), "s0", "s1", "s2", "s3").mapInArrow(run, POSTINGS)
 
 
 def _candidates(postings: DataFrame, similarity: float) -> DataFrame:
@@ -168,7 +191,7 @@ def near_duplicates(records: DataFrame, similarity: float = 0.8, crowd: int = 81
 
     records: (id long, words array<string or long>), one row per record; repeated ids count once, null ids
     and empty or null word sets take no part. similarity: shared words over all words of both, above 0.
-    crowd: reserved for cutting long lists of the index.
+    crowd: records above which a list of the index is dealt into sub-lists, of which every two are compared.
 
     Returns (id, class_id, representative, links): the smallest id of the group, of the records with
     the same words, and the number of other word sets the record is linked to; every record has one row.
@@ -182,7 +205,7 @@ def near_duplicates(records: DataFrame, similarity: float = 0.8, crowd: int = 81
     ids = hashed.select("id", "h")
     sets = materialize(hashed.select("id", "words").join(classes.select(F.col("representative").alias("id")), "id", "left_semi"), "sets")
     rows = materialize(_rows(sets, similarity), "rows")
-    links = materialize(_verified(_candidates(_postings(rows), similarity), sets, similarity), "links")
+    links = materialize(_verified(_candidates(_postings(rows, crowd), similarity), sets, similarity), "links")
     group = components(links)
     degree = links.select(F.col("a").alias("representative")).union(links.select("b")).groupBy("representative").agg(F.count(F.lit(1)).alias("links"))
     out = ids.join(classes, "h").join(group.withColumnRenamed("node", "representative"), "representative", "left").join(degree, "representative", "left")

@@ -150,6 +150,32 @@ def test_every_link_at_the_similarity(spark):
     assert {r.id: r.links for r in got if r.id == r.representative} == {i: degree[i] for i in one} and len(got) == len(rows)
 
 
+@pytest.mark.parametrize("crowd", [8192, 50])
+def test_links_of_a_crowd(spark, crowd):
+    """A story with 700 different variants: the lists of its words hold them all, and every link counts."""
+    rng = random.Random(12)
+    base, vocabulary = [f"s{k}" for k in range(40)], [f"w{k}" for k in range(60)]
+    rows = [(k + 1, rng.sample(base, 40 - rng.randrange(9)) + rng.sample(vocabulary, rng.randrange(9))) for k in range(700)]
+    sets = {i: frozenset(w) for i, w in rows}
+    first = {}
+    for i in sorted(sets):
+        first.setdefault(sets[i], i)
+    one = sorted(first.values())
+    degree = Counter(x for a, b in itertools.combinations(one, 2) if 10 * len(sets[a] & sets[b]) >= 7 * len(sets[a] | sets[b]) for x in (a, b))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "id long, words array<string>"), 0.7, crowd=crowd).collect()
+    assert {r.id: r.links for r in got if r.id == r.representative} == {i: degree[i] for i in one}
+
+
+def test_long_lists_are_dealt(spark):
+    """No list of the index is much longer than two sub-lists, and every two records of a word still meet."""
+    rows = [(k, 1, 1, 0, 0, 0, 0, [7 << 20]) for k in range(1000)] + [(2000, 1, 1, 0, 0, 0, 0, [8 << 20])]
+    lists = defaultdict(set)
+    for r in neardup._postings(spark.createDataFrame(rows, neardup.ROWS), 100).collect():
+        lists[r.key].add(r.id)
+    assert max(map(len, lists.values())) < 300 and {2000} in lists.values()
+    assert len({p for x in lists.values() for p in itertools.combinations(sorted(x), 2)}) == 1000 * 999 // 2
+
+
 @needs_data
 def test_p3_found_brute_force(spark):
     rows = spark.read.parquet(f"{D}/bronze_candidates.parquet").filter("summary_text is not null").select("doc_id", "title", "summary_text", "document_identifier").distinct().collect()
