@@ -132,9 +132,17 @@ def _described(vocabulary: DataFrame, areas: DataFrame) -> DataFrame:
     return own.join(only, "key").select("term", "subject", F.lit(1.0).alias("weight"))
 
 
-def _around(edge: DataFrame, said: DataFrame) -> DataFrame:
-    """(term, subject, n): subjects of the other sentences of the documents that hold the term; each occurrence counts once."""
-    per = said.groupBy("doc", "subject").agg(F.count(F.lit(1)).alias("n_subject"))
+def _held(said: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(doc, subject, n_subject): sentences of every subject and the fixed mass of the agreed labels, also where no sentence took the subject."""
+    n = int(said.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per = said.groupBy("doc", "subject").agg(F.count(F.lit(1)).cast("double").alias("n_subject"))
+    per = per.unionByName(trusted.withColumnRenamed("hold", "n_subject")).repartition(n, "doc")
+    return per.groupBy("doc", "subject").agg(F.sum("n_subject").alias("n_subject"))
+
+
+def _around(edge: DataFrame, said: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(term, subject, n): subjects of the other sentences of the documents that hold the term, agreed labels among them; each occurrence counts once."""
+    per = _held(said, trusted)
     per = per.withColumn("n_doc", F.sum("n_subject").over(Window.partitionBy("doc")))
     own = edge.join(said.withColumnRenamed("subject", "own"), ["doc", "sentence"], "left").select("doc", "term", "own")
     others = F.col("n_doc") - F.col("own").isNotNull().cast("int")
@@ -147,10 +155,11 @@ def subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame | None =
 
     labels: (doc_id, subject), one row per rater; nulls are left out, labels of unknown documents are not
     used. areas: (subject, description), whose words give first evidence where labels are few. share: a subject is kept if it holds at least this share of the sentences that have a subject.
-    rounds: propagation rounds. least, lift, ratio: what verifies a term. clamp: advantage of a subject
-    that raters agree on in the sentences of its document. Rows without id and null or blank texts have no
+    rounds: propagation rounds. least, lift, ratio: what verifies a term. clamp: sentences that a
+    subject raters agree on counts for in its document in every round, and its advantage in the document's sentences;
+    such a subject is always in the result. Rows without id and null or blank texts have no
     subject; repeated ids count once. Returns (doc_id, subject, sentences, of): sentences about the
-    subject and sentences with any subject.
+    subject (none, if only the agreed label says so) and sentences with any subject.
     """
     docs = documents.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).dropDuplicates(["doc"])
     parts = docs.select("doc", F.transform(sentences(F.col("text")), terms).alias("parts"))
@@ -163,7 +172,8 @@ def subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame | None =
     given = labels.filter("doc_id is not null and subject is not null").select(F.col("doc_id").cast("long").alias("doc"), "subject")
     votes = given.groupBy("doc", "subject").agg(F.count(F.lit(1)).alias("votes"))
     seeds = materialize(votes.withColumn("n", F.col("votes") / F.sum("votes").over(Window.partitionBy("doc"))), "seeds")
-    trusted = seeds.filter("votes > 1").select("doc", "subject", F.lit(clamp).alias("hold"))
+    # agreed labels of documents that have words
+    trusted = materialize(seeds.filter("votes > 1").select("doc", "subject", F.lit(float(clamp)).alias("hold")).join(edge.select("doc"), "doc", "left_semi"), "trusted")
     # labelled documents -> terms; the labels are a small side, Spark picks the join by its size
     first = edge.select("doc", "term").distinct().join(seeds.select("doc", "subject", "n"), "doc").groupBy("term", "subject").agg(F.sum("n").alias("n"))
     tied = _tied(first, least, lift, ratio)
@@ -182,11 +192,12 @@ def subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame | None =
         if step == rounds - 1:
             break
         # sentences -> terms
-        again = _around(edge, said)
+        again = _around(edge, said, trusted)
         with _InBuckets(documents.sparkSession):
             grown = materialize(_tied(again, 3 * least, lift, ratio), "terms")
             borrowed = _borrowed(edge, said, grown, vocabulary, 3 * least).join(grown.select("term").distinct(), "term", "left_anti")
             tied = materialize(grown.unionByName(borrowed), "terms")
     n = said.groupBy("doc", "subject").agg(F.count(F.lit(1)).alias("sentences"))
+    n = n.join(trusted, ["doc", "subject"], "full").withColumn("sentences", F.coalesce("sentences", F.lit(0).cast("long")))
     n = n.withColumn("of", F.sum("sentences").over(Window.partitionBy("doc")))
-    return n.filter(F.col("sentences") >= share * F.col("of")).select(F.col("doc").alias("doc_id"), "subject", "sentences", "of")
+    return n.filter(F.col("hold").isNotNull() | (F.col("sentences") >= share * F.col("of"))).select(F.col("doc").alias("doc_id"), "subject", "sentences", "of")

@@ -385,3 +385,23 @@ def test_subjects_agree_with_raters(spark):
         got[r.doc_id].add(r.subject)
     lab = Counter((r.doc_id, r.subject) for r in spark.read.parquet(f"{d}/subject_labels.parquet").filter("subject is not null").collect())
     assert sum(s in got[i] for i, s in lab) >= 0.7 * len(lab)  # some labels are wrong or concern less than a quarter
+
+
+def test_agreed_labels_are_held(spark):
+    """An agreed label stays where no term of it is tied or another subject outvotes it, and feeds its document's terms in every round."""
+    rng = random.Random(10)
+    rows, labels = [], []
+    for k in range(120):
+        s = sorted(LEXICON)[k % 3]
+        rows.append((k, " ".join(f"The {rng.choice(LEXICON[s])} of the {rng.choice(LEXICON[s])} was here." for _ in range(4))))
+        labels += [(k, s, "r1")] * (k % 2)
+    rows += [(500, "Zebulon quarx vimtor."), (501, " ".join("The judge of the court was here." for _ in range(8))), (502, " "), (503, "Nothing known."), (504, "Zebulon quarx vimtor.")]
+    labels += [(i, "sport", r) for i in (500, 501, 502, 77777) for r in ("r1", "r2")] + [(503, "sport", "r1")]
+    docs, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, subject string, rater string")
+    got = {(r.doc_id, r.subject): r.sentences for r in subjects.subjects(docs, lab).collect()}
+    assert got[500, "sport"] == 0 and (501, "sport") in got and got[501, "law"] == 8
+    assert not [k for k in got if k[0] in (502, 503, 77777)]
+    edge = spark.createDataFrame([(1, 0, 10), (1, 1, 11), (2, 0, 11)], "doc long, sentence int, term long")
+    said = spark.createDataFrame([(2, 0, "law")], "doc long, sentence int, subject string")
+    held = spark.createDataFrame([(1, "sport", 1.0)], "doc long, subject string, hold double")
+    assert {(r.term, r.subject): r.n for r in subjects._around(edge, said, held).collect()} == {(10, "sport"): 1.0, (11, "sport"): 1.0}
