@@ -36,8 +36,8 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_significance(spark: SparkSession, d: str) -> DataFrame:
-    """Every pair of factors with its counts, lift and log-likelihood ratio."""
-    return cooccur.pair_counts(_factors(spark, d))
+    """Every pair of themes and of factors with its counts, lift and log-likelihood ratio."""
+    return cooccur.pair_counts(_themes(spark, d).unionByName(_factors(spark, d)))
 
 
 def _terms(spark: SparkSession, d: str) -> DataFrame:

@@ -53,6 +53,14 @@ def test_pairs_empty(spark):
     assert cooccur.pair_counts(spark.createDataFrame([], "field string, items array<string>")).count() == 0
 
 
+@needs_data
+def test_significance_of_both_fields(spark):
+    sql = queries._pairs_sql(queries._THEMES + " UNION ALL " + queries._FACTORS)
+    got = queries.p1_significance(spark, D)
+    assert differences(got.drop("lift", "llr"), connect(D), sql) == ""
+    assert {r.field for r in got.filter("llr > 0").select("field").distinct().collect()} == {"v2_themes", "factor_label"}
+
+
 # --- 2 term frequencies ------------------------------------------------------------------------------
 
 
