@@ -150,6 +150,18 @@ def jn16(spark: S, d: str) -> DataFrame:
     return o.join(lines, o.o_orderkey == lines.l_orderkey).groupBy(F.floor(F.col("o_orderkey") / 1000).cast("long").alias("part")).agg(F.count(F.lit(1)).alias("lines"))
 
 
+@query("jn16_range_index", """WITH c AS (SELECT l_orderkey // 1536 AS chunk, min(l_orderkey) AS lo, max(l_orderkey) AS hi FROM lineitem GROUP BY 1), r AS (SELECT o_orderkey // 1000 AS part, min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders GROUP BY 1)
+  SELECT part, count(DISTINCT chunk) AS chunks, count(l_orderkey) AS lines FROM r JOIN c ON c.lo <= r.hi AND r.lo <= c.hi LEFT JOIN lineitem ON l_orderkey // 1536 = chunk AND l_orderkey BETWEEN r.lo AND r.hi GROUP BY 1""")
+def jn16_index(spark: S, d: str) -> DataFrame:
+    """Every range of order ids with the chunks of lines whose ids overlap it and the lines in them."""
+    lines = read(spark, d, "lineitem").select("l_orderkey", F.floor(F.col("l_orderkey") / 1536).alias("chunk"))
+    ranges = tables.range_index(read(spark, d, "orders"), F.floor(F.col("o_orderkey") / 1000).cast("long"), "o_orderkey").withColumnRenamed("chunk", "part")
+    met = tables.overlapping(tables.range_index(lines, F.col("chunk"), "l_orderkey"), ranges)
+    per = lines.groupBy("chunk", "l_orderkey").agg(F.count(F.lit(1)).alias("n"))  # reduced before it meets the ranges
+    per = met.join(per, "chunk", "left").groupBy("part", "chunk").agg(F.coalesce(F.sum(F.when(F.col("l_orderkey").between(F.col("lo"), F.col("hi")), F.col("n"))), F.lit(0)).alias("lines"))
+    return per.groupBy("part").agg(F.count(F.lit(1)).alias("chunks"), F.sum("lines").alias("lines"))
+
+
 @query("jn18_shared_factors", "WITH f AS (SELECT DISTINCT geo_label, factor_label FROM silver_factor_mentions WHERE factor_label IS NOT NULL) SELECT a.geo_label AS left_geo, b.geo_label AS right_geo, count(*) AS shared FROM f a JOIN f b ON a.factor_label = b.factor_label AND a.geo_label < b.geo_label GROUP BY 1, 2")
 def jn18(spark: S, d: str) -> DataFrame:
     sets = read(spark, d, SILVER).filter("factor_label is not null").groupBy("geo_label").agg(F.collect_set("factor_label").alias("f"))  # at most one entry per factor

@@ -42,6 +42,30 @@ def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return out.select(key, *[F.coalesce(f"__{c}", c).alias(c) for c in cols], change.alias("change"))
 
 
+def range_index(df: DataFrame, chunk: Column, key: str) -> DataFrame:
+    """(chunk, lo, hi): smallest and largest key of every file or other chunk; chunks without keys have no row."""
+    return df.filter(F.col(key).isNotNull()).groupBy(chunk.alias("chunk")).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+
+
+def overlapping(index: DataFrame, ranges: DataFrame, bins: int = 4096) -> DataFrame:
+    """Chunks of an index that a range overlaps: every column of ``ranges`` (which has lo and hi) and ``chunk``.
+
+    Both sides are cut at the edges of equal bins of the index's ids and meet in a bin, the later start deciding in
+    which, so that the join has an equal key and every pair comes once. Ends belong to a range; ids are whole numbers.
+    """
+    low, high = index.agg(F.min("lo"), F.max("hi")).first()
+    if low is None:
+        low = high = 0
+    width = (high - low) // bins + 1
+    at = lambda c: F.floor((c - low) / width)
+    cut = lambda df: df.withColumn("__bin", F.explode(F.sequence(at(F.greatest(F.col("lo"), F.lit(low))), at(F.least(F.col("hi"), F.lit(high))))))
+    one = cut(index.filter("lo <= hi").select("chunk", "lo", "hi")).select("__bin", "chunk", F.col("lo").alias("__lo"), F.col("hi").alias("__hi"))
+    two = cut(ranges.filter((F.col("lo") <= F.col("hi")) & (F.col("hi") >= low) & (F.col("lo") <= high)))
+    start = F.greatest("lo", "__lo")
+    met = two.join(one, "__bin").filter((start <= F.least("hi", "__hi")) & (at(start) == F.col("__bin")))
+    return met.select(*ranges.columns, "chunk")
+
+
 def round_robin(df: DataFrame, stratum: str, order: Sequence[Column]) -> DataFrame:
     """Adds ``turn``: one row of every stratum per round, larger strata first."""
     size = F.count(F.lit(1)).over(Window.partitionBy(stratum))

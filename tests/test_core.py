@@ -1,5 +1,6 @@
 """Core operators against plain versions on small fixtures."""
 
+import os
 import random
 
 import pytest
@@ -148,3 +149,24 @@ def test_capped_sample(spark):
     rows = [("keep", "big.example", k) for k in range(50)] + [("keep", f"s{k}.example", 100 + k) for k in range(4)]
     got = sampling.capped_sample(spark.createDataFrame(rows, "label string, domain string, k long"), "label", "domain", "k", 10).collect()
     assert len(got) == 10 and sum(r.domain == "big.example" for r in got) == 6 and len({r.k for r in got}) == 10
+
+
+def test_range_overlap(spark):
+    rng = random.Random(3)
+    span = lambda n, most: [(k, a, a + rng.randrange(most)) for k in range(n) for a in [rng.randrange(-500, 5000)]]
+    index, wanted = span(60, 400), span(90, 900) + [(500, -9000, 9000), (501, 9000, 9001), (502, 7, 6)]
+    i, w = spark.createDataFrame(index, "chunk long, lo long, hi long"), spark.createDataFrame(wanted, "part long, lo long, hi long")
+    want = sorted((p, c) for p, a, b in wanted if a <= b for c, x, y in index if x <= b and a <= y)
+    for bins in (1, 7, 4096):
+        assert sorted((r.part, r.chunk) for r in tables.overlapping(i, w, bins).collect()) == want
+    assert tables.overlapping(i.limit(0), w).count() == 0
+
+
+def test_range_index_covers_every_id(spark):
+    from newsloom.queries import queries
+
+    d = "/root/testdata/sf0.001"
+    if os.path.isdir(d):
+        got = queries()["jn16_range_index"](spark, d).agg(F.sum("lines"), F.max("part")).first()
+        lines = spark.read.parquet(f"{d}/lineitem.parquet")
+        assert got[0] == lines.count() and got[1] == spark.read.parquet(f"{d}/orders.parquet").agg(F.max("o_orderkey")).first()[0] // 1000
