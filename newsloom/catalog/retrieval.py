@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.catalog import query, read
 from newsloom.catalog.relations import SILVER, UP
+from newsloom.cut import materialize
 from newsloom.functions import ids, text, vectors
 from newsloom.operators import retrieval, safe_sql, sampling
 from newsloom.plans import graph
@@ -116,8 +117,17 @@ def tx24(spark: S, d: str) -> DataFrame:
 
 @query("tx25_fingerprint_pairs")
 def tx25(spark: S, d: str) -> DataFrame:
-    """Pairs of different fingerprints at most six bits apart, over class representatives."""
-    return retrieval.fingerprint_pairs(fingerprints(spark, d), "doc_id", "fingerprint", 6)
+    """Pairs of different fingerprints at most six bits apart over class representatives, and with 0 bits every other member of a class with its representative."""
+    got = materialize(fingerprints(spark, d), "fingerprints")
+    pairs = retrieval.fingerprint_pairs(got, "doc_id", "fingerprint", 6)
+    member = retrieval.fingerprint_classes(got, "doc_id", "fingerprint").filter("doc_id <> class_id")
+    return pairs.unionByName(member.select(F.col("class_id").alias("a"), F.col("doc_id").alias("b"), F.lit(0).cast(pairs.schema["bits"].dataType).alias("bits")))
+
+
+@query("tx25_fingerprint_classes")
+def tx25_classes(spark: S, d: str) -> DataFrame:
+    """Every document that has words with its class of equal fingerprints."""
+    return retrieval.fingerprint_classes(fingerprints(spark, d), "doc_id", "fingerprint")
 
 
 @query("tx32_phased_search", "SELECT doc_id, min(phase) AS phase FROM (SELECT doc_id, 1 AS phase FROM graph_doc_nodes_daily WHERE market_context_score >= 8 UNION ALL SELECT doc_id, 2 FROM graph_doc_nodes_daily WHERE market_context_score >= 4 UNION ALL SELECT doc_id, 3 FROM graph_doc_nodes_daily WHERE market_context_score >= 1) GROUP BY 1")

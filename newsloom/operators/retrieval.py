@@ -78,11 +78,18 @@ def bands(simhash: Column, parts: int = 7) -> Column:
     return F.array(*[F.struct(F.lit(k).alias("part"), F.shiftright(simhash, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("bits")) for k, (a, b) in enumerate(zip(edges, edges[1:]))])
 
 
+def fingerprint_classes(df: DataFrame, ident: str, simhash: str) -> DataFrame:
+    """(ident, class_id): every record with the smallest id among the records of its fingerprint; ids are distinct, null fingerprints have no class."""
+    own = df.filter(F.col(simhash).isNotNull() & F.col(ident).isNotNull()).select(F.col(ident), F.col(simhash).alias("__h")).distinct()
+    one = own.groupBy("__h").agg(F.min(ident).alias("class_id"))
+    return own.join(one, "__h").select(ident, "class_id")
+
+
 def fingerprint_pairs(df: DataFrame, ident: str, simhash: str, most: int = 6) -> DataFrame:
     """Pairs of different fingerprints at most ``most`` bits apart, over class representatives.
 
     Equal fingerprints are one class, so a crowd of copies meets nobody twice. Returns (a, b, bits) of
-    the smallest ids of the classes.
+    the smallest ids of the classes; :func:`fingerprint_classes` has the members.
     """
     one = df.filter(F.col(simhash).isNotNull()).groupBy(F.col(simhash).alias("h")).agg(F.min(ident).alias("id"))
     keys = one.select("id", "h", F.explode(bands(F.col("h"), most + 1)).alias("k")).select("id", "h", "k.*")

@@ -71,6 +71,27 @@ def test_simhash_and_pairs(spark):
     assert [(r.a, r.b, r.bits) for r in retrieval.fingerprint_pairs(near, "id", "h", 6).collect()] == [(1, 2, 3)]
 
 
+def test_members_of_fingerprint_classes(spark):
+    near = spark.createDataFrame([(1, 0), (2, 0b111), (3, (1 << 40) - 1), (4, 0), (4, 0), (5, None), (6, 0b111)], "id long, h long")
+    got = retrieval.fingerprint_classes(near, "id", "h").collect()
+    assert sorted((r.id, r.class_id) for r in got) == [(1, 1), (2, 2), (3, 3), (4, 1), (6, 2)]
+
+
+def test_every_copy_is_in_the_pairs(spark):
+    from newsloom.catalog.retrieval import fingerprints
+    from newsloom.queries import queries
+
+    d = "/root/testdata/sf0.001"
+    if os.path.isdir(d):
+        by = {}
+        for r in fingerprints(spark, d).distinct().collect():
+            by.setdefault(r.fingerprint, []).append(r.doc_id)
+        want = {(min(x), i, 0) for x in by.values() for i in x if i != min(x)}
+        got = [tuple(r) for r in queries()["tx25_fingerprint_pairs"](spark, d).select("a", "b", "bits").collect()]
+        assert {x for x in got if x[2] == 0} == want and want and len(got) == len(set(got))
+        assert {r.doc_id for r in queries()["tx25_fingerprint_classes"](spark, d).collect()} == {i for x in by.values() for i in x}
+
+
 def test_nearest(spark):
     rng = random.Random(1)
     rows = [(k, [rng.gauss(0, 1) for _ in range(8)]) for k in range(60)] + [(99, None)]
