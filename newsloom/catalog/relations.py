@@ -208,6 +208,13 @@ def jn25(spark: S, d: str) -> DataFrame:
     return tables.upsert(c.filter("c_custkey % 3 <> 0"), c.filter("c_custkey % 2 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1), "c_custkey")
 
 
+@query("jn25_upsert_tables", "SELECT coalesce(c_custkey, s_suppkey) AS c_custkey, coalesce(s_acctbal, c_acctbal) AS c_acctbal, CASE WHEN c_custkey IS NULL THEN 'insert' WHEN s_suppkey IS NULL THEN 'keep' ELSE 'update' END AS change FROM customer FULL JOIN supplier ON s_suppkey = c_custkey")
+def jn25_tables(spark: S, d: str) -> DataFrame:
+    """Whole tables by key: no customer and no supplier is left out."""
+    new = read(spark, d, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_acctbal").alias("c_acctbal"))
+    return tables.upsert(read(spark, d, "customer").select("c_custkey", "c_acctbal"), new, "c_custkey")
+
+
 @query("jn26_exclude_labelled", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM subject_labels)")
 def jn26(spark: S, d: str) -> DataFrame:
     return tables.unseen(read(spark, d, "documents").select("doc_id"), read(spark, d, "subject_labels"), ["doc_id"])

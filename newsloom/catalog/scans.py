@@ -208,6 +208,13 @@ def prj06(spark: S, d: str) -> DataFrame:
     return read(spark, d, "bronze_candidates").select("doc_id", F.nullif(F.trim(F.concat_ws(" || ", *parts)), F.lit("")).alias("joined"))
 
 
+@query("prj06_whole_text", """SELECT doc_id, nullif(trim(concat_ws(' || ', coalesce(title,''), coalesce(summary_text,''), coalesce(body_text,''), coalesce(all_names,''), coalesce(v2_organizations,''), coalesce(v2_persons,''), coalesce(v2_themes,''), coalesce(v2_locations,''))), '') AS joined FROM bronze_candidates""")
+def prj06_whole(spark: S, d: str) -> DataFrame:
+    """As prj06_relevant_text, with bodies of any length."""
+    parts = [F.coalesce(c, F.lit("")) for c in ("title", "summary_text", "body_text", "all_names", "v2_organizations", "v2_persons", "v2_themes", "v2_locations")]
+    return read(spark, d, "bronze_candidates").select("doc_id", F.nullif(F.trim(F.concat_ws(" || ", *parts)), F.lit("")).alias("joined"))
+
+
 @query("prj07_match_text", """SELECT doc_id, translate(concat_ws(' | ', v2_themes, all_names, v2_organizations, title, summary_text), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS match_text FROM bronze_candidates""")
 def prj07(spark: S, d: str) -> DataFrame:
     return read(spark, d, "bronze_candidates").select("doc_id", text.ascii_upper(F.concat_ws(" | ", "v2_themes", "all_names", "v2_organizations", "title", "summary_text")).alias("match_text"))

@@ -191,3 +191,22 @@ def test_range_index_covers_every_id(spark):
         got = queries()["jn16_range_index"](spark, d).agg(F.sum("lines"), F.max("part")).first()
         lines = spark.read.parquet(f"{d}/lineitem.parquet")
         assert got[0] == lines.count() and got[1] == spark.read.parquet(f"{d}/orders.parquet").agg(F.max("o_orderkey")).first()[0] // 1000
+
+
+def test_whole_bodies(spark, tmp_path):
+    from newsloom.queries import queries
+
+    cols = ("title", "summary_text", "body_text", "all_names", "v2_organizations", "v2_persons", "v2_themes", "v2_locations")
+    row = (1, "t", None, "b" * 9000 + "end", *[None] * 5)
+    spark.createDataFrame([row], "doc_id long, " + ", ".join(f"{c} string" for c in cols)).write.parquet(f"{tmp_path}/bronze_candidates.parquet")
+    got = queries()["prj06_whole_text"](spark, str(tmp_path)).first().joined
+    assert "b" * 9000 + "end" in got
+
+
+def test_upsert_of_whole_tables(spark):
+    from newsloom.queries import queries
+
+    d = "/root/testdata/sf0.001"
+    if os.path.isdir(d):
+        keys = {r[0] for r in queries()["jn25_upsert_tables"](spark, d).select("c_custkey").collect()}
+        assert keys == {r[0] for t, k in (("customer", "c_custkey"), ("supplier", "s_suppkey")) for r in spark.read.parquet(f"{d}/{t}.parquet").select(k).collect()}
