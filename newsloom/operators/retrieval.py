@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,14 +17,21 @@ def nearest(collection: DataFrame, queries: DataFrame, k: int, ident: str = "vec
     """The ``k`` most similar vectors (cosine) of every query, without the query itself.
 
     The queries travel to the collection in blocks: every task keeps the best ``k`` of its own vectors per
-    query and only those are shuffled. At most ``most`` queries are taken in one run, counted first; more
-    are an error that asks for several runs. Ties are broken by id.
+    query and only those are shuffled. Queries are counted first; beyond ``most`` they are dealt by id into sets
+    of about that size, each of which is one pass over the collection. Ties are broken by id, inside batches too.
     """
+    sets = max(1, -(-queries.count() // most))
+    if sets == 1:
+        return _nearest(collection, queries, k, ident, vector, block)
+    of = F.pmod(F.xxhash64(F.col(ident).cast("long")), F.lit(sets))
+    parts = [_nearest(collection, queries.filter(of == i), k, ident, vector, block) for i in range(sets)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _nearest(collection: DataFrame, queries: DataFrame, k: int, ident: str, vector: str, block: int) -> DataFrame:
+    """One set of queries of :func:`nearest`."""
     import numpy as np
 
-    n = queries.count()
-    if n > most:
-        raise ValueError(f"{n} queries: run them in sets of {most}")
     rows = queries.select(ident, vector).toArrow().to_pydict()
     q_ids = np.array(rows[ident], np.int64)
     q = np.array(rows[vector], np.float64)
@@ -35,6 +43,7 @@ def nearest(collection: DataFrame, queries: DataFrame, k: int, ident: str = "vec
         for pdf in batches:
             if not len(pdf) or not len(ids):
                 continue
+            pdf = pdf.sort_values(ident)  # the stable sort by score below then leaves ties in the order of ids
             own = pdf[ident].to_numpy()
             v = np.stack(pdf[vector].to_numpy()).astype(np.float64)
             v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)

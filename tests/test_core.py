@@ -108,6 +108,18 @@ def test_nearest(spark):
         df.filter("vec_id < 3").select(vectors.truncate(F.col("embedding"), 9)).collect()
 
 
+def test_nearest_ties_and_sets(spark):
+    ids = list(range(1, 61))
+    random.Random(4).shuffle(ids)
+    rows = [(i, [1.0, 0.0]) for i in ids] + [(100 + i, [0.0, 1.0]) for i in range(5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    for most in (100_000, 2):
+        got = retrieval.nearest(df, df.filter("vec_id in (30, 1, 2, 50, 60)"), 3, most=most).collect()
+        for q in (30, 1, 2, 50, 60):
+            assert [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == [i for i in range(1, 6) if i != q][:3]
+        assert len(got) == 15
+
+
 def test_days_append_and_catalog(spark, tmp_path):
     df = spark.createDataFrame([(1, "2025-01-01"), (2, "2025-01-02")], "k long, d string")
     sinks.write_days(df, str(tmp_path / "days"), "d")
