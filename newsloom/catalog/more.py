@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.catalog import query, read
 from newsloom.catalog.relations import BRONZE, NODES, PAIR_SCORED, SILVER, UP, pair_panel, rounded
-from newsloom.cut import shared_dir
+from newsloom.cut import scratch
 from newsloom.functions import html, text
 from newsloom.operators import learning, tables
 from newsloom.plans import graph
@@ -32,14 +30,14 @@ def src13(spark: S, d: str) -> DataFrame:
 
 @query("src17_xml_scan", "SELECT r_regionkey, r_name FROM region")
 def src17(spark: S, d: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/newsloom/xml-{uuid.uuid4().hex}"
+    path = scratch(spark, "xml")
     read(spark, d, "region").select("r_regionkey", "r_name").write.format("xml").option("rowTag", "region").save(path)
     return readers.xml_rows(spark, path, "region", "r_regionkey int, r_name string")
 
 
 @query("snk05_replace_days", "SELECT bucket_time, count(*) AS n FROM silver_factor_mentions GROUP BY 1")
 def snk05(spark: S, d: str) -> DataFrame:
-    path, m = f"{shared_dir(spark)}/newsloom/replace-{uuid.uuid4().hex}", read(spark, d, SILVER).select("bucket_time", "doc_id", "factor_label")
+    path, m = scratch(spark, "replace"), read(spark, d, SILVER).select("bucket_time", "doc_id", "factor_label")
     sinks.write_days(m.limit(5), path, "bucket_time")  # a broken first run of some days
     sinks.write_days(m, path, "bucket_time")
     return spark.read.parquet(path).groupBy("bucket_time").agg(F.count(F.lit(1)).alias("n"))
@@ -53,7 +51,7 @@ def snk09(spark: S, d: str) -> DataFrame:
 
 @query("snk13_zstd_writer", "SELECT count(*) AS n, sum(length(title)) AS letters FROM graph_doc_nodes_daily")
 def snk13(spark: S, d: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/newsloom/zstd-{uuid.uuid4().hex}"
+    path = scratch(spark, "zstd")
     read(spark, d, NODES).select("doc_id", "title").write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("title")).alias("letters"))
 

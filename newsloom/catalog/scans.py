@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.catalog import query, read
-from newsloom.cut import shared_dir
+from newsloom.cut import scratch
 from newsloom.functions import ids, text
 from newsloom.plans import graph
 from newsloom.sources import readers, sinks
@@ -17,7 +15,7 @@ S = SparkSession
 
 
 def _tmp(spark: S, name: str) -> str:
-    return f"{shared_dir(spark)}/newsloom/{name}-{uuid.uuid4().hex}"
+    return scratch(spark, name)
 
 
 @query("src01_union_scan", "SELECT partition_date, count(*) AS n FROM bronze_candidates WHERE partition_date IN (DATE '2022-01-04', DATE '2022-01-05') GROUP BY 1")

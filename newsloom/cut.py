@@ -2,8 +2,12 @@
 
 A job that iterates or reads one intermediate result several times writes it once to the folder
 named in ``spark.checkpoint.dir``, which every executor shares, and goes on from that table: a lost
-executor then costs a re-read and nothing else. Only where the setting is absent (tests, a laptop)
-is a temporary folder of this machine used.
+executor then costs a re-read and nothing else. Only a session whose executors run in this process
+(master ``local``) may do without the setting; it gets a temporary folder of this machine. On any
+other master a missing setting is an error, since executors would write to their own disks.
+
+Intermediate tables lie under ``newsloom/<application id>`` and are deleted when the application
+ends; what an application left behind can be deleted by that name.
 """
 
 from __future__ import annotations
@@ -16,13 +20,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
+_watched: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: ``spark.checkpoint.dir``, else one temporary folder per application."""
+    """Folder that all executors share: ``spark.checkpoint.dir``; on a local master else one temporary folder per application."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master.split("[")[0] != "local":
+        raise RuntimeError(f"spark.checkpoint.dir is not set: on master {master} intermediate tables need a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="newsloom-")
@@ -36,18 +44,55 @@ def _remove_local(path: str) -> None:
     shutil.rmtree(path, ignore_errors=True)
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path for one intermediate table of this application; it is deleted when the application ends."""
+    app = spark.sparkContext.applicationId
+    path = f"{shared_dir(spark)}/newsloom/{app}/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(app, []).append(path)
+    if app not in _watched:
+        _watched.add(app)
+        atexit.register(_at_end, spark, app)
+    return path
+
+
+def _at_end(spark: SparkSession, app: str) -> None:
+    if spark.sparkContext._jsc is not None and spark.sparkContext.applicationId == app:
+        _delete(spark, f"{shared_dir(spark)}/newsloom/{app}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def materialize(df: DataFrame, label: str = "part") -> DataFrame:
     """Write ``df`` to the shared folder and return the stored table, free of the plan that made it."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/newsloom/{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, label)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._newsloom_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of :func:`materialize` that nothing still to be computed reads, as those of an earlier round."""
+    for t in tables:
+        path = getattr(t, "_newsloom_path", None)
+        if path:
+            _delete(t.sparkSession, path)
+            kept = _written.get(t.sparkSession.sparkContext.applicationId, [])
+            if path in kept:
+                kept.remove(path)
 
 
 def drop_materialized(spark: SparkSession) -> None:
-    """Delete every table this application wrote through :func:`materialize`."""
+    """Delete every intermediate table this application wrote so far."""
     for path in _written.pop(spark.sparkContext.applicationId, []):
-        jvm = spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(spark, path)
