@@ -46,17 +46,23 @@ def _remove_local(path: str) -> None:
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path for one intermediate table of this application; it is deleted when the application ends."""
+    path = f"{shared_dir(spark)}/newsloom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    forget_at_end(spark, path)
+    return path
+
+
+def forget_at_end(spark: SparkSession, path: str) -> None:
+    """Have ``path`` deleted when the application ends."""
     app = spark.sparkContext.applicationId
-    path = f"{shared_dir(spark)}/newsloom/{app}/{label}-{uuid.uuid4().hex}"
     _written.setdefault(app, []).append(path)
     if app not in _watched:
         _watched.add(app)
         atexit.register(_at_end, spark, app)
-    return path
 
 
 def _at_end(spark: SparkSession, app: str) -> None:
     if spark.sparkContext._jsc is not None and spark.sparkContext.applicationId == app:
+        drop_materialized(spark)
         _delete(spark, f"{shared_dir(spark)}/newsloom/{app}")
 
 
