@@ -149,6 +149,23 @@ def _pairs_sql(records: str) -> str:
 _TERMS = f"""WITH v AS (SELECT 'v2_themes' AS field, doc_id, unnest({values_sql('v2_themes')}) AS x FROM (SELECT DISTINCT doc_id, v2_themes FROM bronze_candidates) UNION ALL SELECT 'all_names', doc_id, unnest({values_sql('all_names')}) FROM (SELECT DISTINCT doc_id, all_names FROM bronze_candidates)),
   n AS (SELECT field, count(DISTINCT doc_id) AS records FROM v GROUP BY 1), f AS (SELECT field, upper(regexp_replace(x, '\\s+', ' ', 'g')) AS term, count(*) AS occurrences, count(DISTINCT doc_id) AS docs FROM v GROUP BY 1, 2)
   SELECT f.field, term, occurrences, docs, records, CASE WHEN docs <= 2 THEN 'rare' WHEN docs >= records * 0.1 THEN 'common' END AS mark FROM f JOIN n ON n.field = f.field"""
+# what chooses a page, in steps: without scheme, fragment and user; host; path; parameters that count, in order
+_TRACKERS = ", ".join(f"'{t}'" for t in history.TRACKING)
+_PLAIN = "url_decode(regexp_replace({0}, '%(2[35Ff6]|3[DdFf])', '%25\\1', 'g'))"
+_PAGES = f"""SELECT doc_id, partition_date, regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), '^.*@', ''), ':(80|443)?$', ''), '\\.+$', ''), '^www\\.', '')
+    || regexp_replace(regexp_replace({_PLAIN.format("regexp_extract(rest, '^[^/?]*([^?]*)', 1)")}, '/{{2,}}', '/', 'g'), '/+$', '') || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS page
+  FROM (SELECT doc_id, partition_date, rest, list_sort(list_distinct(list_filter(list_transform(string_split(regexp_extract(rest, '^[^?]*\\?(.*)$', 1), '&'), lambda x : {_PLAIN.format('x')}), lambda x : x <> '' AND lower(regexp_extract(x, '^[^=]*')) NOT IN ({_TRACKERS}) AND NOT starts_with(lower(x), 'utm_')))) AS q
+    FROM (SELECT DISTINCT doc_id, partition_date, regexp_replace(regexp_replace(regexp_replace(trim(document_identifier), '^[A-Za-z][A-Za-z0-9+.-]*:', ''), '^//+', ''), '#.*$', '') AS rest FROM bronze_candidates
+      WHERE doc_id IS NOT NULL AND partition_date IS NOT NULL AND trim(document_identifier) <> ''))"""
+_RETURNS = f"""WITH p AS ({_PAGES}), f AS (SELECT page, min(struct_pack(d := partition_date, i := doc_id)) AS f FROM p GROUP BY 1)
+  SELECT DISTINCT least(doc_id, f.f.i) AS doc_id_a, greatest(doc_id, f.f.i) AS doc_id_b FROM p JOIN f ON f.page = p.page WHERE f.f.d < partition_date AND f.f.i <> doc_id"""
+_NORMAL = "trim(regexp_replace(lower({0}), '[\\s\u00a0]+', ' ', 'g'))"
+_COVERAGE = f"""WITH d AS (SELECT DISTINCT doc_id, partition_date, text FROM documents WHERE partition_date IS NOT NULL AND text IS NOT NULL), t AS (SELECT doc_id, partition_date, {_NORMAL.format('text')} AS k FROM d),
+  q AS (SELECT DISTINCT doc_id, partition_date, k FROM (SELECT doc_id, partition_date, {_NORMAL.format("unnest(regexp_split_to_array(text, '\\n+'))")} AS k FROM d) WHERE k <> ''),
+  ft AS (SELECT k, min(struct_pack(d := partition_date, i := doc_id)) AS f FROM t WHERE k <> '' GROUP BY 1), fq AS (SELECT k, min(partition_date) AS day FROM q GROUP BY 1),
+  n AS (SELECT doc_id, partition_date, count(*) AS parts, count(*) FILTER (fq.day < partition_date) AS seen_parts FROM q JOIN fq ON fq.k = q.k GROUP BY 1, 2)
+  SELECT t.doc_id, t.partition_date, CASE WHEN f.i <> t.doc_id THEN f.i END AS first_id, CASE WHEN f.i <> t.doc_id THEN f.d END AS first_batch, coalesce(parts, 0) AS parts, coalesce(seen_parts, 0) AS seen_parts, seen_parts / parts AS coverage
+  FROM t JOIN ft ON ft.k = t.k LEFT JOIN n ON n.doc_id = t.doc_id AND n.partition_date = t.partition_date"""
 _GRAMS = "SELECT DISTINCT {id}, unnest(list_transform(range(1, greatest(1, len(w) - 10)), lambda i : array_to_string(w[i:i + 11], ' '))) AS g FROM (SELECT {id}, regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+') AS w FROM {table})"
 
 
@@ -158,6 +175,8 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": f"SELECT field, item_a, item_b FROM ({_pairs_sql(_THEMES + ' UNION ALL ' + _FACTORS)}) WHERE n_ab >= 5 AND n_ab >= 0.002 * n_records AND n_ab * n_records >= 3 * n_a * n_b",
         "p2_found": f"SELECT field, term, mark FROM ({_TERMS}) WHERE mark IS NOT NULL",
         "p2_terms": _TERMS,
+        "p6_found": _RETURNS,
+        "p6_coverage": _COVERAGE,
         "p7_found": f"SELECT doc_id FROM ({_RANKED}) WHERE rank > cap",
         "p7_ranked": f"SELECT *, coalesce(rank <= cap, true) AS kept FROM ({_RANKED})",
         "p8_found": grams,
