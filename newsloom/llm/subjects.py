@@ -6,37 +6,47 @@ the term must be tied to a subject beyond chance (lift and log-likelihood ratio,
 subjects of its own language) in the labelled documents or, later, in the other sentences of the
 documents it occurs in; a sentence never vouches for its own terms, so what stands in every text gains
 nothing. Labels then travel along the edges by joins: from labelled documents to terms, from terms to
-sentences, from sentences back to terms, with the labels that raters agree on held fast. A sentence takes
-the subject with the strongest evidence or none; a document keeps every subject that holds enough of its
-sentences.
+sentences, from sentences back to terms. The labels that raters agree on are clamped: in every round their
+document has them with the same mass again, whatever its sentences were given. A sentence takes the subject
+with the strongest evidence or none; a document keeps every subject that holds enough of its sentences.
 
-Edges are stored bucketed by document. Every step of a round that belongs to a document (sentence scores,
-its subjects, what the other sentences say) then joins and aggregates inside a bucket; only counts per
-term and subject, combined before they move, are shuffled.
+A document is one row with the numbers of its terms, sentence after sentence, and is cut into words once.
+A round joins the weights of the tied terms, in blocks of bounded size that are sent to the tasks, with the
+documents where they lie; only sums per term, combined in the task, are shuffled. Texts are not.
 """
 
 from __future__ import annotations
 
-import uuid
+import hashlib
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.cut import materialize, shared_dir
+from newsloom.cut import materialize, release
 
-CODES = {"en": 0, "de": 1, "es": 2, "fr": 3}
+#: Last bits of a term's number: the language of the text it stands in.
+LANG_BITS = 6
+PACKED = "doc long, sizes array<int>, terms array<long>, term long, word string"
 
 
-def sentences(text: Column) -> Column:
-    """Sentences of a text: markup gone, cut after a closing mark and at line breaks."""
-    plain = F.regexp_replace(F.regexp_replace(text, r"<[^<>]{0,200}>", "\n"), r"&(?:nbsp|#160);", " ")
-    return F.filter(F.split(plain, r"(?<=[.!?])[\s ]+|[\r\n]+"), lambda s: s.rlike(r"\p{L}"))
+def word_ids(text: str) -> list[list[str]]:
+    """Distinct words of every sentence of a text.
 
+    Markup is taken out; sentences end after a closing mark and at line breaks and hold a letter. Words are runs of
+    letters as written, since letter case tells names from words; a sentence all in capitals is read in small letters.
+    """
+    import regex
 
-def terms(sentence: Column) -> Column:
-    """Distinct words of a sentence as written, without numbers; letter case tells names from words. A sentence all in capitals is read in small letters."""
-    s = F.when(F.upper(sentence) == sentence, F.lower(sentence)).otherwise(sentence)
-    return F.array_distinct(F.regexp_extract_all(s, F.lit(r"[\p{L}\p{M}][\p{L}\p{M}-]*"), F.lit(0)))
+    plain = regex.sub(r"&(?:nbsp|#160);", " ", regex.sub(r"<[^<>]{0,200}>", "\n", text))
+    out = []
+    for s in regex.split(r"(?<=[.!?])[ \t\n\x0b\f\r ]+|[\r\n]+", plain):
+        found = regex.findall(r"[\p{L}\p{M}][\p{L}\p{M}-]*", s.lower() if s.upper() == s else s)
+        if found:
+            out.append(list(dict.fromkeys(found)))
+    return out
 
 
 # Accented letters and their plain forms, for comparing terms across languages.
@@ -48,156 +58,344 @@ def stem(term: Column) -> Column:
     return F.when(F.length(term) >= 5, F.substring(F.translate(F.lower(term), ACCENTED, PLAIN), 1, 5))
 
 
-def _borrowed(edge: DataFrame, said: DataFrame, tied: DataFrame, vocabulary: DataFrame, least: int) -> DataFrame:
-    """Weights for terms of texts that no label reached, taken from their cognates.
-
-    Only a term that occurs almost nowhere in a sentence with a subject borrows: a word in a language
-    without labels does, a word that names companies in every subject does not. A stem lends if one
-    subject holds most of its weight.
-    """
-    use = edge.join(said.select("doc", "sentence", F.lit(1).alias("has")), ["doc", "sentence"], "left").groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.count("has").alias("n_has"))
-    stems = vocabulary.select("term", stem(F.col("word")).alias("stem")).filter("stem is not null")
-    orphan = use.filter((F.col("n") >= least) & (F.col("n_has") <= 0.2 * F.col("n"))).join(stems, "term").select("term", "stem")
-    lent = tied.join(stems, "term").select("stem", "subject", "weight").groupBy("stem", "subject").agg(F.max("weight").alias("weight"), F.sum("weight").alias("w"))
-    lent = lent.withColumn("all", F.sum("w").over(Window.partitionBy("stem"))).filter(F.col("w") >= 0.7 * F.col("all"))
-    return orphan.join(lent, "stem").select("term", "subject", (0.5 * F.col("weight")).alias("weight"))
-
-
-# Frequent function words by which a text's language is told.
-MARKERS = {
-    "de": "der die das und ist nicht ein eine mit für von im am auf bei aus nach über es vor dem den zu wie keine weniger",
-    "en": "the of and to in for with that by at on from was has but not this is an as",
-    "es": "el la los las de en y que con para por del una se no es lo al desde menos",
-    "fr": "le la les de des et à du que pour dans avec sur une est au il sans chez depuis",
-}
-
-
-def language(words: Column) -> Column:
-    """The language whose function words a text holds most of; English where none is ahead."""
-    n = {k: F.size(F.array_intersect(words, F.array(*map(F.lit, v.split())))) for k, v in MARKERS.items()}
-    best = F.greatest(*n.values())
-    return F.when(n["en"] == best, CODES["en"]).when(n["de"] == best, CODES["de"]).when(n["es"] == best, CODES["es"]).otherwise(CODES["fr"])
-
+# --- languages ---------------------------------------------------------------------------------------
 
-def _by_document(df: DataFrame, label: str) -> DataFrame:
-    """Store a table bucketed by document in the shared folder."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"{label}_{uuid.uuid4().hex[:12]}"
-    df.repartition(n, "doc").write.format("parquet").option("path", f"{shared_dir(spark)}/newsloom/{name}").bucketBy(n, "doc").sortBy("doc", "sentence").saveAsTable(name)
-    return spark.table(name)
 
+class Languages:
+    """A model of the languages named in a column: how many documents of each hold a frequent word."""
 
-class _InBuckets:
-    """Let joins on (doc, sentence) use tables bucketed by doc alone; the session's setting comes back afterwards."""
+    def __init__(self, names: list[str], docs: list[int], words: dict[str, list[int]]):
+        self.names = names
+        n = np.array(docs, np.float64)
+        self.logs = {w: np.log((np.array(c) + 0.5) / (n + 1)) for w, c in words.items()}
 
-    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    def code(self, words: set[str]) -> int:
+        """Number of the likeliest language; the most frequent one where no known word is met."""
+        total = sum((self.logs[w] for w in words if w in self.logs), np.zeros(max(1, len(self.names))))
+        return int(np.argmax(total))
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
 
-    def __enter__(self) -> None:
-        self.before = self.spark.conf.get(self.key)
-        self.spark.conf.set(self.key, "false")
+def learn_languages(docs: DataFrame, sample: int = 50_000, share: float = 0.02, least: int = 5) -> Languages:
+    """Learn to tell languages from (doc, text, lang), of which some labels are wrong or missing.
 
-    def __exit__(self, *_: object) -> None:
-        self.spark.conf.set(self.key, self.before)
-
-
-def _tied(counts: DataFrame, least: int, lift: float, ratio: float) -> DataFrame:
-    """(term, subject, n) -> (term, subject, weight) for terms tied to a subject beyond chance.
-
-    weight is the log of how much likelier the subject is with the term than without knowledge of it.
+    sample: about so many labelled documents are read, chosen by a hash of their id (the bound of the fit; every document is then
+    classified). A word counts if it stands in at least ``share`` of the documents of a language, so the words are few
+    hundreds a language whatever the corpus. least: documents a language must have in the sample.
+    """
+    named = docs.filter("lang is not null and trim(lang) <> '' and text is not null").select("doc", "text", F.lower(F.trim("lang")).alias("lang"))
+    n = named.count()
+    if n > sample:
+        named = named.filter(F.pmod(F.xxhash64("doc", F.lit(3)), F.lit(1 << 20)) < max(1, round((1 << 20) * sample / n)))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count: dict[tuple[str, str], int] = {}
+        for b in batches:
+            for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for w in {"", *(w.lower() for s in word_ids(text) for w in s)}:
+                    count[lang, w] = count.get((lang, w), 0) + 1
+        if count:
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in count]), pa.array([k[1] for k in count]), pa.array(list(count.values()), pa.int64())], names=["lang", "word", "n"])
+
+    counts = materialize(named.select("text", "lang").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "languages")
+    known = counts.filter((F.col("word") == "") & (F.col("n") >= least)).orderBy(F.desc("n"), "lang").limit((1 << LANG_BITS) - 1)
+    names = [(r["lang"], r["n"]) for r in known.collect()]
+    place = {lang: k for k, (lang, _) in enumerate(names)}
+    frequent = counts.join(F.broadcast(known.select("lang", F.col("n").alias("of"))), "lang").filter((F.col("word") != "") & (F.col("n") >= share * F.col("of"))).select("word").distinct()
+    words: dict[str, list[int]] = {}
+    for r in counts.join(frequent, "word").filter(F.col("lang").isin(list(place))).collect() if names else ():
+        words.setdefault(r["word"], [0] * len(names))[place[r["lang"]]] = r["n"]
+    release(counts)
+    return merged(Languages([x for x, _ in names], [c for _, c in names], words))
+
+
+def merged(model: Languages, like: float = 0.8) -> Languages:
+    """The model without names whose frequent words are those of a more frequent name, as a code for "unknown" or another spelling has."""
+    share = np.exp(np.array(list(model.logs.values()))) if model.logs else np.zeros((0, len(model.names)))
+    norm = np.maximum(np.linalg.norm(share, axis=0), 1e-300)
+    kept: list[int] = []
+    for k in range(len(model.names)):
+        if all(share[:, k] @ share[:, j] / norm[k] / norm[j] <= like for j in kept):
+            kept.append(k)
+    model.names = [model.names[k] for k in kept]
+    model.logs = {w: x[kept] for w, x in model.logs.items()}
+    return model
+
+
+# --- documents as rows of term numbers ---------------------------------------------------------------
+
+
+def _packed(docs: DataFrame, languages: Languages) -> DataFrame:
+    """(doc, text) -> a row (doc, sizes, terms) per document with words, and rows (term, word), repeated at most once a task."""
+    sent = docs.sparkSession.sparkContext.broadcast(languages)
+    schema = pa.schema([("doc", pa.int64()), ("sizes", pa.list_(pa.int32())), ("terms", pa.list_(pa.int64())), ("term", pa.int64()), ("word", pa.string())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number: dict[tuple[str, int], int] = {}
+        for b in batches:
+            docs, sizes, terms, new = [], [], [], []
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                parts = word_ids(text)
+                if not parts:
+                    continue
+                code = sent.value.code({w.lower() for s in parts for w in s})
+                flat = []
+                for s in parts:
+                    for w in s:
+                        i = number.get((w, code))
+                        if i is None:
+                            i = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) >> LANG_BITS << LANG_BITS | code
+                            number[w, code] = i
+                            new.append((i, w))
+                        flat.append(i)
+                docs.append(doc)
+                sizes.append([len(s) for s in parts])
+                terms.append(flat)
+            none = [None] * len(new)
+            cols = [docs + none, sizes + none, terms + none, [None] * len(docs) + [i for i, _ in new], [None] * len(docs) + [w for _, w in new]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
+            if len(number) > 1_000_000:
+                number.clear()
+
+    return docs.filter("text is not null").select("doc", "text").mapInArrow(run, PACKED)
+
+
+class _Weights:
+    """A block of tied terms, sorted, with their weights by subject."""
+
+    def __init__(self, tied: DataFrame, place: dict[str, int]):
+        rows = tied.select("term", "subject", "weight").toArrow()
+        term = rows.column("term").to_numpy()
+        at = np.array([place[s] for s in rows.column("subject").to_pylist()], np.int64)
+        self.terms, inverse = np.unique(term, return_inverse=True)
+        self.weight = np.zeros((len(self.terms), len(place)))
+        self.weight[inverse, at] = rows.column("weight").to_numpy()
+
+    def add(self, score: np.ndarray, terms: np.ndarray, sentence: np.ndarray) -> None:
+        if not len(self.terms):
+            return
+        where = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        hit = np.flatnonzero(self.terms[where] == terms)
+        for k in range(score.shape[1]):
+            score[:, k] += np.bincount(sentence[hit], self.weight[where[hit], k], len(score))
+
+
+class _Sums:
+    """Sums per term, combined in the task before they move."""
+
+    def __init__(self, width: int, names: list[str], hold: int = 1_000_000):
+        self.terms, self.values, self.rows = [], [], 0
+        self.width, self.names, self.hold = width, names, hold
+
+    def add(self, terms: np.ndarray, sentence: np.ndarray, value: np.ndarray) -> None:
+        """Every occurrence of a term adds the values of its sentence."""
+        some, inverse = np.unique(terms, return_inverse=True)
+        self.terms.append(some)
+        self.values.append(np.stack([np.bincount(inverse, value[sentence, k], len(some)) for k in range(self.width)], axis=1))
+        self.rows += len(some)
+
+    def full(self) -> bool:
+        if self.rows > self.hold:
+            self._merge()
+        return self.rows > self.hold
+
+    def _merge(self) -> None:
+        if len(self.terms) > 1:
+            values = np.concatenate(self.values)
+            some, inverse = np.unique(np.concatenate(self.terms), return_inverse=True)
+            self.terms, self.values = [some], [np.stack([np.bincount(inverse, values[:, k], len(some)) for k in range(self.width)], axis=1)]
+            self.rows = len(some)
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        self._merge()
+        for t, v in zip(self.terms, self.values):
+            for lo in range(0, len(t), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(t[lo : lo + 50_000]), *(pa.array(v[lo : lo + 50_000, k]) for k in range(self.width))], names=self.names)
+        self.terms, self.values, self.rows = [], [], 0
+
+
+def told(score: np.ndarray, hold: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Subject of every sentence, -1 for none: the strongest, a clamped subject of its document being ahead by its mass; of equal ones the last."""
+    lead = np.where(score > 0, score + hold[doc], 0.0)
+    best = score.shape[1] - 1 - lead[:, ::-1].argmax(axis=1)
+    return np.where(lead.max(axis=1, initial=0.0) > 0, best, -1)
+
+
+def vouched(own: np.ndarray, hold: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every sentence the shares of the subjects among the other sentences of its document and the clamped labels, and for every document its sentences by subject."""
+    has = own >= 0
+    count = np.zeros_like(hold)
+    np.add.at(count, (doc[has], own[has]), 1.0)
+    mass = count + hold
+    value = mass[doc]
+    value[np.flatnonzero(has), own[has]] -= 1.0
+    others = mass.sum(axis=1)[doc] - has
+    value = np.where(others[:, None] > 0, np.maximum(value, 0.0) / np.where(others > 0, others, 1.0)[:, None], 0.0)
+    return value, count
+
+
+def _blocks(tied: DataFrame, size: int) -> list[DataFrame]:
+    """Tied terms in blocks of about ``size`` rows; a term lies in one block."""
+    cuts = max(1, -(-tied.count() // size))
+    return [tied] if cuts == 1 else [tied.filter(F.pmod(F.xxhash64("term"), F.lit(cuts)) == k) for k in range(cuts)]
+
+
+def _round(docs: DataFrame, tied: DataFrame, subjects: list[str], share: float | None, block: int) -> DataFrame:
+    """One round over (doc, sizes, terms, hold): terms -> sentences -> terms.
+
+    With ``share`` the documents' subjects come out instead: (doc, subject, sentences, of). Else a row
+    (term, n, has, n_0, n_1, ..) for every term: its occurrences, those in sentences with a subject, and the sums of what vouches for it.
     """
-    own = Window.partitionBy("term")
-    lang = F.col("term").bitwiseAND(F.lit(3))  # the language is kept in the last two bits of a term's number
-    total = counts.groupBy(lang.alias("lang"), "subject").agg(F.sum("n").alias("n_subject"))
-    prior = total.withColumn("prior", F.col("n_subject") / F.sum("n_subject").over(Window.partitionBy("lang"))).select("lang", "subject", "prior")  # one row per language and subject
-    t = counts.withColumn("lang", lang).withColumn("n_term", F.sum("n").over(own)).filter(F.col("n_term") >= least).join(F.broadcast(prior), ["lang", "subject"])
-    p = F.col("n") / F.col("n_term")
-    t = t.withColumn("lift", p / F.col("prior")).withColumn("g", 2 * F.col("n") * F.log(p / F.col("prior")))
-    t = t.withColumn("p", p).withColumn("best", F.max("lift").over(own)).withColumn("most", F.max("p").over(own)).withColumn("top", F.max("g").over(own))
-    # where subjects are few no lift is large: then a clear majority does
-    t = t.filter((F.col("top") >= ratio) & ((F.col("best") >= lift) | ((F.col("best") >= lift / 2) & (F.col("most") >= 0.6))))
-    return t.filter("lift > 1").select("term", "subject", F.log("lift").alias("weight"))
+    spark, place, width = docs.sparkSession, {s: k for k, s in enumerate(subjects)}, len(subjects)
+    names = ["term", "n", "has", *(f"n_{k}" for k in range(width))]
+    every = _blocks(tied, block)
+    for b, part in enumerate(every):
+        sent, last = spark.sparkContext.broadcast(_Weights(part, place)), b == len(every) - 1
+
+        def run(batches: Iterable[pa.RecordBatch], sent=sent, first: bool = b == 0, last: bool = last) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            sums = _Sums(width + 2, names)
+            for whole in batches:
+                for lo in range(0, whole.num_rows, 5000):
+                    x = whole.slice(lo, 5000)
+                    sizes, terms, hold = x.column(1), x.column(2).flatten().to_numpy(), x.column(3)
+                    size = sizes.flatten().to_numpy()
+                    doc = np.repeat(np.arange(x.num_rows), np.diff(sizes.offsets.to_numpy()))
+                    sentence = np.repeat(np.arange(len(size)), size)
+                    score = np.zeros((len(size), width)) if first else x.column(4).flatten().to_numpy().astype(np.float64).reshape(-1, width)
+                    sent.value.add(score, terms, sentence)
+                    if not last:
+                        at = np.r_[0, np.cumsum(np.bincount(doc, minlength=x.num_rows))] * width
+                        yield pa.RecordBatch.from_arrays([*x.columns[:4], pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(score.ravel()))], names=["doc", "sizes", "terms", "hold", "score"])
+                        continue
+                    mass = np.zeros((x.num_rows, width))
+                    clamped = np.flatnonzero(hold.is_valid().to_numpy(zero_copy_only=False))
+                    if len(clamped):
+                        mass[clamped] = hold.drop_null().flatten().to_numpy().reshape(-1, width)
+                    own = told(score, mass, doc)
+                    value, count = vouched(own, mass, doc)
+                    if share is None:
+                        sums.add(terms, sentence, np.c_[np.ones(len(size)), own >= 0, value])
+                        continue
+                    of = count.sum(axis=1)
+                    r, c = np.nonzero((mass > 0) | ((count > 0) & (count >= share * of[:, None])))
+                    yield pa.RecordBatch.from_arrays([x.column(0).take(pa.array(r)), pa.array([subjects[k] for k in c], pa.string()), pa.array(count[r, c].astype(np.int64)), pa.array(of[r].astype(np.int64))], names=["doc", "subject", "sentences", "of"])
+                if sums.full():
+                    yield from sums.flush()
+            yield from sums.flush()
+
+        if not last:
+            spec = "doc long, sizes array<int>, terms array<long>, hold array<double>, score array<double>"
+        elif share is None:
+            spec = ", ".join(f"{n} {'long' if n == 'term' else 'double'}" for n in names)
+        else:
+            spec = "doc long, subject string, sentences long, of long"
+        docs = docs.mapInArrow(run, spec)
+        if not last:
+            docs = materialize(docs, "scores")
+    return docs
+
+
+# --- terms tied to subjects --------------------------------------------------------------------------
+
+
+def _tied(sums: DataFrame, subjects: list[str], least: int, lift: float, ratio: float) -> DataFrame:
+    """(term, n_0, n_1, ..) -> (term, subject, weight) for terms tied to a subject beyond chance.
+
+    weight is the log of how much likelier the subject is with the term than without knowledge of it, against all terms of its language.
+    """
+    cols, mask = [f"n_{k}" for k in range(len(subjects))], (1 << LANG_BITS) - 1
+    # one row per language
+    total = {r[0]: np.array([x or 0.0 for x in r[1:]]) for r in sums.groupBy(F.col("term").bitwiseAND(F.lit(mask)).alias("lang")).agg(*[F.sum(c).alias(c) for c in cols]).collect()}
+    prior = np.zeros((mask + 1, len(cols)))
+    for code, x in total.items():
+        prior[code] = x / x.sum() if x.sum() > 0 else 0.0
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            term = b.column(0).to_numpy()
+            n = np.stack([c.to_numpy() for c in b.columns[1:]], axis=1)
+            of = n.sum(axis=1)
+            keep = of >= least
+            term, n, of, base = term[keep], n[keep], of[keep], prior[term[keep] & mask]
+            p = n / of[:, None]
+            ok = (n > 0) & (base > 0)
+            up = np.where(ok, p / np.where(base > 0, base, 1.0), 0.0)
+            log = np.log(np.where(up > 0, up, 1.0))
+            best, most, top = up.max(axis=1, initial=0), np.where(ok, p, 0).max(axis=1, initial=0), (2 * n * log).max(axis=1, initial=0)
+            # where subjects are few no lift is large: then a clear majority does
+            good = (top >= ratio) & ((best >= lift) | ((best >= lift / 2) & (most >= 0.6)))
+            r, c = np.nonzero(good[:, None] & (up > 1))
+            yield pa.RecordBatch.from_arrays([pa.array(term[r]), pa.array([subjects[k] for k in c], pa.string()), pa.array(log[r, c])], names=["term", "subject", "weight"])
+
+    return sums.select("term", *[F.col(c).cast("double") for c in cols]).mapInArrow(run, "term long, subject string, weight double")
 
 
 def _described(vocabulary: DataFrame, areas: DataFrame) -> DataFrame:
     """Corpus terms that the descriptions of the subjects name, as weak first evidence."""
     key = lambda c: F.coalesce(stem(c), F.lower(c))
-    said = areas.filter("subject is not null").select("subject", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("description"), F.lit(r"\p{L}{3,}"), F.lit(0)))).alias("w")).filter(~F.col("w").isin("and", "the", "for", "with"))
+    said = areas.filter("subject is not null").select("subject", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("description"), F.lit(r"\p{L}{3,}"), F.lit(0)))).alias("w"))
     only = said.select("subject", key(F.col("w")).alias("key")).distinct()
-    only = only.join(only.groupBy("key").count().filter("count = 1").select("key"), "key")
+    only = only.join(only.groupBy("key").count().filter("count = 1").select("key"), "key")  # a word of two descriptions says nothing
     own = vocabulary.select("term", key(F.col("word")).alias("key"))
-    return own.join(only, "key").select("term", "subject", F.lit(1.0).alias("weight"))
-
+    return own.join(F.broadcast(only), "key").select("term", "subject", F.lit(1.0).alias("weight"))  # the words of some descriptions
 
-def _held(said: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(doc, subject, n_subject): sentences of every subject and the fixed mass of the agreed labels, also where no sentence took the subject."""
-    n = int(said.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    per = said.groupBy("doc", "subject").agg(F.count(F.lit(1)).cast("double").alias("n_subject"))
-    per = per.unionByName(trusted.withColumnRenamed("hold", "n_subject")).repartition(n, "doc")
-    return per.groupBy("doc", "subject").agg(F.sum("n_subject").alias("n_subject"))
 
+def _borrowed(sums: DataFrame, tied: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Weights for terms of texts that no label reached, taken from their cognates.
 
-def _around(edge: DataFrame, said: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(term, subject, n): subjects of the other sentences of the documents that hold the term, agreed labels among them; each occurrence counts once."""
-    per = _held(said, trusted)
-    per = per.withColumn("n_doc", F.sum("n_subject").over(Window.partitionBy("doc")))
-    own = edge.join(said.withColumnRenamed("subject", "own"), ["doc", "sentence"], "left").select("doc", "term", "own")
-    others = F.col("n_doc") - F.col("own").isNotNull().cast("int")
-    here = F.coalesce((F.col("own") == F.col("subject")).cast("int"), F.lit(0))
-    return own.join(per, "doc").filter(others > 0).groupBy("term", "subject").agg(F.sum((F.col("n_subject") - here) / others).alias("n")).filter("n > 0")
+    Only a term that occurs almost nowhere in a sentence with a subject borrows: a word in a language
+    without labels does, a word that names companies in every subject does not. A stem lends if one
+    subject holds most of its weight.
+    """
+    stems = vocabulary.select("term", stem(F.col("word")).alias("stem")).filter("stem is not null")
+    orphan = sums.filter(F.col("has") <= 0.2 * F.col("n")).select("term").join(stems, "term")
+    lent = tied.join(stems, "term").groupBy("stem", "subject").agg(F.max("weight").alias("weight"), F.sum("weight").alias("w"))
+    lent = lent.withColumn("all", F.sum("w").over(Window.partitionBy("stem"))).filter(F.col("w") >= 0.7 * F.col("all"))
+    return orphan.join(lent, "stem").select("term", "subject", (0.5 * F.col("weight")).alias("weight"))
 
 
-def subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame | None = None, share: float = 0.25, rounds: int = 5, least: int = 3, lift: float = 3.0, ratio: float = 10.0, clamp: float = 1.0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def subjects(documents: DataFrame, labels: DataFrame, areas: DataFrame | None = None, share: float = 0.25, rounds: int = 5, least: int = 3, lift: float = 3.0, ratio: float = 10.0, clamp: float = 1.0, doc_id: str = "doc_id", text: str = "text", lang: str | None = "lang", block: int = 1_000_000) -> DataFrame:
     """Subjects of every document.
 
     labels: (doc_id, subject), one row per rater; nulls are left out, labels of unknown documents are not
     used. areas: (subject, description), whose words give first evidence where labels are few. share: a subject is kept if it holds at least this share of the sentences that have a subject.
     rounds: propagation rounds. least, lift, ratio: what verifies a term. clamp: sentences that a
-    subject raters agree on counts for in its document in every round, and its advantage in the document's sentences;
-    such a subject is always in the result. Rows without id and null or blank texts have no
-    subject; repeated ids count once. Returns (doc_id, subject, sentences, of): sentences about the
-    subject (none, if only the agreed label says so) and sentences with any subject.
+    subject raters agree on counts for in its document, again in every round, and its advantage in the document's sentences;
+    such a subject is always in the result. lang: column from which languages are learned, where the table has it
+    (see :func:`learn_languages`); without it all texts count as one language. block: weights sent to a task at a time.
+    Rows without id and null or blank texts have no subject; repeated ids count once. Returns (doc_id, subject,
+    sentences, of): sentences about the subject (none, if only the agreed label says so) and sentences with any subject.
     """
-    docs = documents.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).dropDuplicates(["doc"])
-    parts = docs.select("doc", F.transform(sentences(F.col("text")), terms).alias("parts"))
-    tongue = language(F.array_distinct(F.transform(F.flatten("parts"), F.lower)))
-    said_words = parts.select("doc", tongue.alias("lang"), F.posexplode("parts").alias("sentence", "words")).select("doc", "lang", "sentence", F.explode("words").alias("word"))
-    number = F.xxhash64("word").bitwiseAND(F.lit(-4)).bitwiseOR(F.col("lang").cast("long"))
-    written = materialize(said_words.select("doc", "sentence", "word", number.alias("term")), "words")
-    edge = _by_document(written.select("doc", "sentence", "term"), "edges")
-    vocabulary = materialize(written.groupBy("term").agg(F.min("word").alias("word")), "vocabulary")
+    named = F.col(lang).cast("string") if lang and lang in documents.columns else F.lit(None).cast("string")
+    spark = documents.sparkSession
+    docs = documents.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"), named.alias("lang"))
     given = labels.filter("doc_id is not null and subject is not null").select(F.col("doc_id").cast("long").alias("doc"), "subject")
     votes = given.groupBy("doc", "subject").agg(F.count(F.lit(1)).alias("votes"))
     seeds = materialize(votes.withColumn("n", F.col("votes") / F.sum("votes").over(Window.partitionBy("doc"))), "seeds")
-    # agreed labels of documents that have words
-    trusted = materialize(seeds.filter("votes > 1").select("doc", "subject", F.lit(float(clamp)).alias("hold")).join(edge.select("doc"), "doc", "left_semi"), "trusted")
-    # labelled documents -> terms; the labels are a small side, Spark picks the join by its size
-    first = edge.select("doc", "term").distinct().join(seeds.select("doc", "subject", "n"), "doc").groupBy("term", "subject").agg(F.sum("n").alias("n"))
-    tied = _tied(first, least, lift, ratio)
+    # the list of subjects: labels and areas name few
+    known = seeds.select("subject").union(areas.select("subject")) if areas is not None else seeds.select("subject")
+    kinds = sorted(r[0] for r in known.filter("subject is not null").distinct().collect())
+    if not kinds:
+        return spark.createDataFrame([], "doc_id long, subject string, sentences long, of long")
+    if not docs.groupBy("doc").count().filter("count > 1").isEmpty():  # ids alone are looked at; texts move only if some repeat
+        docs = docs.dropDuplicates(["doc"])
+    both = materialize(_packed(docs, learn_languages(docs)), "packed")
+    vocabulary = materialize(both.filter("term is not null").select("term", "word").dropDuplicates(["term"]), "vocabulary")
+    packed = both.filter("doc is not null").select("doc", "sizes", "terms")
+    agreed = seeds.filter("votes > 1").groupBy("doc").agg(F.collect_set("subject").alias("agreed"))
+    hold = F.array(*[F.when(F.array_contains("agreed", s), float(clamp)).otherwise(0.0) for s in kinds])
+    packed = packed.join(agreed.select("doc", hold.alias("hold")), "doc", "left")
+    # labelled documents -> terms
+    first = packed.select("doc", F.array_distinct("terms").alias("terms")).join(seeds.select("doc", "subject", "n"), "doc").select(F.explode("terms").alias("term"), "subject", "n")
+    first = first.groupBy("term").agg(F.lit(1.0).alias("n"), *[F.sum(F.when(F.col("subject") == s, F.col("n")).otherwise(0.0)).alias(f"n_{k}") for k, s in enumerate(kinds)])
+    tied = materialize(_tied(materialize(first, "labelled"), kinds, least, lift, ratio), "tied")
     if areas is not None:
-        tied = materialize(tied, "labelled")
-        tied = tied.unionByName(_described(vocabulary, areas).join(tied.select("term").distinct(), "term", "left_anti"))
-    tied = materialize(tied, "terms")
-    said = None
-    for step in range(rounds):
-        # terms -> sentences
-        heard = edge.join(tied, "term").groupBy("doc", "sentence", "subject").agg(F.sum("weight").alias("score"))
-        heard = heard.join(trusted, ["doc", "subject"], "left").withColumn("score", F.col("score") + F.coalesce("hold", F.lit(0.0)))
-        said = heard.groupBy("doc", "sentence").agg(F.max_by("subject", F.struct("score", "subject")).alias("subject"))
-        with _InBuckets(documents.sparkSession):
-            said = _by_document(said, "sentences")
-        if step == rounds - 1:
-            break
-        # sentences -> terms
-        again = _around(edge, said, trusted)
-        with _InBuckets(documents.sparkSession):
-            grown = materialize(_tied(again, 3 * least, lift, ratio), "terms")
-            borrowed = _borrowed(edge, said, grown, vocabulary, 3 * least).join(grown.select("term").distinct(), "term", "left_anti")
-            tied = materialize(grown.unionByName(borrowed), "terms")
-    n = said.groupBy("doc", "subject").agg(F.count(F.lit(1)).alias("sentences"))
-    n = n.join(trusted, ["doc", "subject"], "full").withColumn("sentences", F.coalesce("sentences", F.lit(0).cast("long")))
-    n = n.withColumn("of", F.sum("sentences").over(Window.partitionBy("doc")))
-    return n.filter(F.col("hold").isNotNull() | (F.col("sentences") >= share * F.col("of"))).select(F.col("doc").alias("doc_id"), "subject", "sentences", "of")
+        tied = materialize(tied.unionByName(_described(vocabulary, areas).join(tied.select("term").distinct(), "term", "left_anti")), "tied")
+    for _ in range(rounds - 1):
+        sums = _round(packed, tied, kinds, None, block)
+        sums = sums.groupBy("term").agg(*[F.sum(c).alias(c) for c in sums.columns[1:]]).filter(F.col("n") >= 3 * least)
+        sums = materialize(sums, "sums")
+        grown = materialize(_tied(sums, kinds, 3 * least, lift, ratio), "grown")
+        borrowed = _borrowed(sums, grown, vocabulary).join(grown.select("term").distinct(), "term", "left_anti")
+        before, tied = tied, materialize(grown.unionByName(borrowed), "tied")
+        release(before, sums, grown)
+    return _round(packed, tied, kinds, share, block).withColumnRenamed("doc", "doc_id")

@@ -409,7 +409,32 @@ def test_agreed_labels_are_held(spark):
     got = {(r.doc_id, r.subject): r.sentences for r in subjects.subjects(docs, lab).collect()}
     assert got[500, "sport"] == 0 and (501, "sport") in got and got[501, "law"] == 8
     assert not [k for k in got if k[0] in (502, 503, 77777)]
-    edge = spark.createDataFrame([(1, 0, 10), (1, 1, 11), (2, 0, 11)], "doc long, sentence int, term long")
-    said = spark.createDataFrame([(2, 0, "law")], "doc long, sentence int, subject string")
-    held = spark.createDataFrame([(1, "sport", 1.0)], "doc long, subject string, hold double")
-    assert {(r.term, r.subject): r.n for r in subjects._around(edge, said, held).collect()} == {(10, "sport"): 1.0, (11, "sport"): 1.0}
+    packed = spark.createDataFrame([(1, [1, 1], [10, 11], [0.0, 1.0]), (2, [1], [12], None)], "doc long, sizes array<int>, terms array<long>, hold array<double>")
+    packed = packed.unionByName(spark.createDataFrame([(3, [1], [11], None)], packed.schema))
+    tied = spark.createDataFrame([(11, "law", 0.0), (12, "law", 1.0)], "term long, subject string, weight double")
+    got = {r.term: (r.n_0, r.n_1) for r in subjects._round(packed, tied, ["law", "sport"], None, 100).groupBy("term").agg(F.sum("n_0").alias("n_0"), F.sum("n_1").alias("n_1")).collect()}
+    assert {(t, s): n for t, x in got.items() for s, n in zip(("law", "sport"), x) if n} == {(10, "sport"): 1.0, (11, "sport"): 1.0}
+
+
+def test_blocks_of_weights_change_nothing(spark):
+    rng = random.Random(13)
+    rows = [(k, " ".join(f"The {rng.choice(LEXICON[s])} of the {rng.choice(LEXICON[s])} was here." for s in [sorted(LEXICON)[k % 3]] * 3 + [rng.choice(sorted(LEXICON))])) for k in range(150)]
+    labels = [(k, sorted(LEXICON)[k % 3], r) for k in range(0, 150, 2) for r in "ab"[: k % 4]]
+    docs, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, subject string, rater string")
+    one = sorted(map(tuple, subjects.subjects(docs, lab).collect()))
+    assert len(one) > 150 and one == sorted(map(tuple, subjects.subjects(docs, lab, block=7).collect()))
+
+
+def test_languages_are_learned(spark):
+    rng = random.Random(14)
+    words = {"xx": "the of and is in".split(), "yy": "der und ist von das".split()}
+    rows = []
+    for k in range(400):
+        true = "xx" if k % 3 else "yy"
+        said = true.upper() if k % 7 else rng.choice(["yy", "", None, "unknown"])
+        rows.append((k, f"{' '.join(rng.choices(words[true], k=6))} name{k % 5} {rng.choice('abcdefgh') * 4}.", said, true))
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc long, text string, lang string")
+    model = subjects.learn_languages(docs)
+    assert model.names == ["xx", "yy"]  # "unknown" reads like the most frequent language and is no other one
+    assert all(model.names[model.code({w for s in subjects.word_ids(t) for w in s})] == true for _, t, _, true in rows)
+    assert subjects.learn_languages(docs.limit(0)).code({"the"}) == 0
