@@ -18,10 +18,12 @@ documents where they lie; only sums per term, combined in the task, are shuffled
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,21 +34,24 @@ LANG_BITS = 6
 PACKED = "doc long, sizes array<int>, terms array<long>, term long, word string"
 
 
-def word_ids(text: str) -> list[list[str]]:
+TAG, ENTITY = re.compile(r"<[^<>]{0,200}>"), re.compile(r"&(?:nbsp|#160);")
+#: Where a sentence ends: white space after a closing mark, or a line break.
+END = re.compile(r"[.!?][ \t\n\x0b\f\r\u00a0]+|[\r\n]+")
+WORD = regex.compile(r"[\p{L}\p{M}][\p{L}\p{M}-]*")
+
+
+def words_of(text: str) -> list[list[str]]:
     """Distinct words of every sentence of a text.
 
     Markup is taken out; sentences end after a closing mark and at line breaks and hold a letter. Words are runs of
     letters as written, since letter case tells names from words; a sentence all in capitals is read in small letters.
     """
-    import regex
-
-    plain = regex.sub(r"&(?:nbsp|#160);", " ", regex.sub(r"<[^<>]{0,200}>", "\n", text))
-    out = []
-    for s in regex.split(r"(?<=[.!?])[ \t\n\x0b\f\r ]+|[\r\n]+", plain):
-        found = regex.findall(r"[\p{L}\p{M}][\p{L}\p{M}-]*", s.lower() if s.upper() == s else s)
-        if found:
-            out.append(list(dict.fromkeys(found)))
-    return out
+    if "<" in text:
+        text = TAG.sub("\n", text)
+    if "&" in text:
+        text = ENTITY.sub(" ", text)
+    found = (WORD.findall(s.lower() if s.isupper() else s) for s in END.split(text))
+    return [list(dict.fromkeys(w)) for w in found if w]
 
 
 # Accented letters and their plain forms, for comparing terms across languages.
@@ -66,16 +71,38 @@ class Languages:
 
     def __init__(self, names: list[str], docs: list[int], words: dict[str, list[int]]):
         self.names = names
-        n = np.array(docs, np.float64)
-        self.logs = {w: np.log((np.array(c) + 0.5) / (n + 1)) for w, c in words.items()}
-
-    def code(self, words: set[str]) -> int:
-        """Number of the likeliest language; the most frequent one where no known word is met."""
-        total = sum((self.logs[w] for w in words if w in self.logs), np.zeros(max(1, len(self.names))))
-        return int(np.argmax(total))
-
-
-def learn_languages(docs: DataFrame, sample: int = 50_000, share: float = 0.02, least: int = 5) -> Languages:
+        self.place = {w: k for k, w in enumerate(words)}
+        counts = np.array(list(words.values()), np.float64).reshape(len(words), max(1, len(names)))
+        self.logs = np.log((counts + 0.5) / (np.array(docs or [0], np.float64) + 1))
+        self.met: dict[str, int] = {}
+
+    def code(self, words: Iterable[str]) -> int:
+        """Number of the likeliest language of a text; the most frequent one where no known word is met."""
+        found = set()
+        for w in words:
+            k = self.met.get(w)
+            if k is None:
+                if len(self.met) > 1_000_000:
+                    self.met.clear()
+                k = self.met[w] = self.place.get(w.lower(), -1)
+            if k >= 0:
+                found.add(k)
+        return int(self.logs[list(found)].sum(axis=0).argmax()) if found else 0
+
+    def merge(self, like: float = 0.8) -> Languages:
+        """Leave out names whose frequent words are those of a more frequent name, as a code for "unknown" or another spelling has."""
+        share = np.exp(self.logs)
+        norm = np.maximum(np.linalg.norm(share, axis=0), 1e-300)
+        kept: list[int] = []
+        for k in range(len(self.names)):
+            if all(share[:, k] @ share[:, j] / norm[k] / norm[j] <= like for j in kept):
+                kept.append(k)
+        if kept:
+            self.names, self.logs = [self.names[k] for k in kept], self.logs[:, kept]
+        return self
+
+
+def learn_languages(docs: DataFrame, sample: int = 20_000, share: float = 0.02, least: int = 5) -> Languages:
     """Learn to tell languages from (doc, text, lang), of which some labels are wrong or missing.
 
     sample: about so many labelled documents are read, chosen by a hash of their id (the bound of the fit; every document is then
@@ -91,7 +118,7 @@ def learn_languages(docs: DataFrame, sample: int = 50_000, share: float = 0.02,
         count: dict[tuple[str, str], int] = {}
         for b in batches:
             for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for w in {"", *(w.lower() for s in word_ids(text) for w in s)}:
+                for w in {"", *(w.lower() for s in words_of(text) for w in s)}:
                     count[lang, w] = count.get((lang, w), 0) + 1
         if count:
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in count]), pa.array([k[1] for k in count]), pa.array(list(count.values()), pa.int64())], names=["lang", "word", "n"])
@@ -105,20 +132,7 @@ def learn_languages(docs: DataFrame, sample: int = 50_000, share: float = 0.02,
     for r in counts.join(frequent, "word").filter(F.col("lang").isin(list(place))).collect() if names else ():
         words.setdefault(r["word"], [0] * len(names))[place[r["lang"]]] = r["n"]
     release(counts)
-    return merged(Languages([x for x, _ in names], [c for _, c in names], words))
-
-
-def merged(model: Languages, like: float = 0.8) -> Languages:
-    """The model without names whose frequent words are those of a more frequent name, as a code for "unknown" or another spelling has."""
-    share = np.exp(np.array(list(model.logs.values()))) if model.logs else np.zeros((0, len(model.names)))
-    norm = np.maximum(np.linalg.norm(share, axis=0), 1e-300)
-    kept: list[int] = []
-    for k in range(len(model.names)):
-        if all(share[:, k] @ share[:, j] / norm[k] / norm[j] <= like for j in kept):
-            kept.append(k)
-    model.names = [model.names[k] for k in kept]
-    model.logs = {w: x[kept] for w, x in model.logs.items()}
-    return model
+    return Languages([x for x, _ in names], [c for _, c in names], words).merge()
 
 
 # --- documents as rows of term numbers ---------------------------------------------------------------
@@ -130,31 +144,35 @@ def _packed(docs: DataFrame, languages: Languages) -> DataFrame:
     schema = pa.schema([("doc", pa.int64()), ("sizes", pa.list_(pa.int32())), ("terms", pa.list_(pa.int64())), ("term", pa.int64()), ("word", pa.string())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number: dict[tuple[str, int], int] = {}
+        number: dict[int, dict[str, int]] = {}
+        known = 0
         for b in batches:
-            docs, sizes, terms, new = [], [], [], []
+            docs, sizes, flat, size_at, term_at, new = [], [], [], [0], [0], []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                parts = word_ids(text)
+                parts = words_of(text)
                 if not parts:
                     continue
-                code = sent.value.code({w.lower() for s in parts for w in s})
-                flat = []
+                code = sent.value.code(w for s in parts for w in s)
+                of = number.setdefault(code, {})
                 for s in parts:
                     for w in s:
-                        i = number.get((w, code))
+                        i = of.get(w)
                         if i is None:
-                            i = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) >> LANG_BITS << LANG_BITS | code
-                            number[w, code] = i
+                            i = of[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) >> LANG_BITS << LANG_BITS | code
                             new.append((i, w))
+                            known += 1
                         flat.append(i)
                 docs.append(doc)
-                sizes.append([len(s) for s in parts])
-                terms.append(flat)
-            none = [None] * len(new)
-            cols = [docs + none, sizes + none, terms + none, [None] * len(docs) + [i for i, _ in new], [None] * len(docs) + [w for _, w in new]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types)], schema=schema)
-            if len(number) > 1_000_000:
+                sizes.extend(map(len, parts))
+                size_at.append(len(sizes))
+                term_at.append(len(flat))
+            n = len(docs)
+            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.ListArray.from_arrays(pa.array(size_at, pa.int32()), pa.array(sizes, pa.int32())), pa.ListArray.from_arrays(pa.array(term_at, pa.int32()), pa.array(flat, pa.int64())), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string())], schema=schema)
+            n = len(new)
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, schema.types[1]), pa.nulls(n, schema.types[2]), pa.array([i for i, _ in new], pa.int64()), pa.array([w for _, w in new], pa.string())], schema=schema)
+            if known > 1_000_000:
                 number.clear()
+                known = 0
 
     return docs.filter("text is not null").select("doc", "text").mapInArrow(run, PACKED)
 
@@ -170,13 +188,16 @@ class _Weights:
         self.weight = np.zeros((len(self.terms), len(place)))
         self.weight[inverse, at] = rows.column("weight").to_numpy()
 
-    def add(self, score: np.ndarray, terms: np.ndarray, sentence: np.ndarray) -> None:
+    def add(self, score: np.ndarray, some: np.ndarray, inverse: np.ndarray, sentence: np.ndarray) -> None:
+        """Add the weights of the terms ``some[inverse]`` to the scores of their sentences."""
         if not len(self.terms):
             return
-        where = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        hit = np.flatnonzero(self.terms[where] == terms)
+        where = np.minimum(np.searchsorted(self.terms, some), len(self.terms) - 1)
+        tied = self.terms[where] == some
+        hit = np.flatnonzero(tied[inverse])
+        row, at = where[inverse[hit]], sentence[hit]
         for k in range(score.shape[1]):
-            score[:, k] += np.bincount(sentence[hit], self.weight[where[hit], k], len(score))
+            score[:, k] += np.bincount(at, self.weight[row, k], len(score))
 
 
 class _Sums:
@@ -186,11 +207,15 @@ class _Sums:
         self.terms, self.values, self.rows = [], [], 0
         self.width, self.names, self.hold = width, names, hold
 
-    def add(self, terms: np.ndarray, sentence: np.ndarray, value: np.ndarray) -> None:
-        """Every occurrence of a term adds the values of its sentence."""
-        some, inverse = np.unique(terms, return_inverse=True)
+    def add(self, some: np.ndarray, inverse: np.ndarray, size: np.ndarray, value: np.ndarray) -> None:
+        """Every occurrence of a term ``some[inverse]`` adds the values of its sentence; sentences follow one another and have ``size`` terms."""
+        row, col = np.nonzero(value)
+        count = size[row]
+        start = np.r_[0, np.cumsum(size)[:-1]][row] if len(size) else row
+        at = np.repeat(start - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum()) if len(row) else row
+        total = np.bincount(inverse[at] * self.width + np.repeat(col, count), np.repeat(value[row, col], count), len(some) * self.width)
         self.terms.append(some)
-        self.values.append(np.stack([np.bincount(inverse, value[sentence, k], len(some)) for k in range(self.width)], axis=1))
+        self.values.append(total.reshape(-1, self.width))
         self.rows += len(some)
 
     def full(self) -> bool:
@@ -261,7 +286,8 @@ def _round(docs: DataFrame, tied: DataFrame, subjects: list[str], share: float |
                     doc = np.repeat(np.arange(x.num_rows), np.diff(sizes.offsets.to_numpy()))
                     sentence = np.repeat(np.arange(len(size)), size)
                     score = np.zeros((len(size), width)) if first else x.column(4).flatten().to_numpy().astype(np.float64).reshape(-1, width)
-                    sent.value.add(score, terms, sentence)
+                    some, inverse = np.unique(terms, return_inverse=True)
+                    sent.value.add(score, some, inverse, sentence)
                     if not last:
                         at = np.r_[0, np.cumsum(np.bincount(doc, minlength=x.num_rows))] * width
                         yield pa.RecordBatch.from_arrays([*x.columns[:4], pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(score.ravel()))], names=["doc", "sizes", "terms", "hold", "score"])
@@ -273,7 +299,7 @@ def _round(docs: DataFrame, tied: DataFrame, subjects: list[str], share: float |
                     own = told(score, mass, doc)
                     value, count = vouched(own, mass, doc)
                     if share is None:
-                        sums.add(terms, sentence, np.c_[np.ones(len(size)), own >= 0, value])
+                        sums.add(some, inverse, size, np.c_[np.ones(len(size)), own >= 0, value])
                         continue
                     of = count.sum(axis=1)
                     r, c = np.nonzero((mass > 0) | ((count > 0) & (count >= share * of[:, None])))

@@ -436,5 +436,5 @@ def test_languages_are_learned(spark):
     docs = spark.createDataFrame([r[:3] for r in rows], "doc long, text string, lang string")
     model = subjects.learn_languages(docs)
     assert model.names == ["xx", "yy"]  # "unknown" reads like the most frequent language and is no other one
-    assert all(model.names[model.code({w for s in subjects.word_ids(t) for w in s})] == true for _, t, _, true in rows)
+    assert all(model.names[model.code(w for s in subjects.words_of(t) for w in s)] == true for _, t, _, true in rows)
     assert subjects.learn_languages(docs.limit(0)).code({"the"}) == 0
