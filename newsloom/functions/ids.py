@@ -45,3 +45,14 @@ def simhash(tokens: Column) -> Column:
 
 def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
+
+
+#: The name space of addresses of RFC 4122 (fixed value).
+URL_SPACE = "6ba7b8119dad11d180b400c04fd430c8"
+
+
+def uuid5(name: Column, space: str = URL_SPACE) -> Column:
+    """UUID of version 5 of a name: the SHA-1 of name space and name with version and variant set."""
+    h = F.sha1(F.concat(F.unhex(F.lit(space)), F.encode(name, "utf-8")))
+    variant = F.substring(F.lit("89ab"), F.conv(F.substring(h, 17, 1), 16, 10).cast("int") % 4 + 1, F.lit(1))
+    return F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"), F.substring(h, 14, 3), F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12))
