@@ -26,3 +26,9 @@ def truncate(a: Column, size: int) -> Column:
 def minmax(x: Column, low: Column, high: Column) -> Column:
     """Scaled to 0..1 between the two bounds; 1 where they are equal."""
     return F.when(high == low, F.lit(1.0)).otherwise((x - low) / (high - low))
+
+
+def sign_bits(v: Column, start: int, count: int) -> Column:
+    """One bit a dimension, set where it is positive, of up to 63 dimensions from ``start``."""
+    part = F.slice(v, start + 1, count)
+    return F.aggregate(F.transform(part, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, x: a + x)

@@ -116,3 +116,24 @@ def diversify(hits: DataFrame, group: str, order: Sequence[str], domain: str, pe
         return pdf.assign(adjusted=pdf[order[0]] - penalty * (at - per_domain + 1).clip(lower=0))
 
     return hits.groupBy(group).applyInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in hits.schema.fields) + ", adjusted double")
+
+
+def widening(df: DataFrame, score: str, thresholds: Sequence[float], most: int, ident: str) -> DataFrame:
+    """Records by falling thresholds until ``most`` are found: adds ``phase`` (from 1).
+
+    One pass finds every record's phase and the sizes of the phases; phases past the one that fills the list are
+    not sorted. Inside a phase the better score comes first, then the smaller id.
+    """
+    phase = F.lit(None).cast("int")
+    for k, t in reversed(list(enumerate(thresholds, 1))):
+        phase = F.when(F.col(score) >= t, k).otherwise(phase)
+    # thresholds fall, so the first that holds is the phase
+    found = df.withColumn("phase", phase).filter("phase is not null")
+    sizes = {r["phase"]: r["count"] for r in found.groupBy("phase").count().collect()}  # one row per threshold
+    need, last = 0, 0
+    for k in range(1, len(thresholds) + 1):
+        last = k
+        need += sizes.get(k, 0)
+        if need >= most:
+            break
+    return found.filter(F.col("phase") <= last).orderBy("phase", F.desc(score), ident).limit(most)

@@ -80,3 +80,43 @@ def compatible(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
     """Project to (name, type) columns; those the frame lacks become typed nulls."""
     have = set(df.columns)
     return df.select(*[(F.col(n) if n in have else F.lit(None)).cast(t).alias(n) for n, t in columns])
+
+
+def store_days(spark: SparkSession, root: str, name: str, low: str | None = None, high: str | None = None) -> DataFrame:
+    """A table of a store between two days, by partition pruning; any file system Spark can name will do."""
+    df = spark.read.parquet(f"{root}/{name}")
+    df = df.filter(F.col("dt") >= F.lit(low).cast("date")) if low else df
+    return df.filter(F.col("dt") <= F.lit(high).cast("date")) if high else df
+
+
+def from_manifest(spark: SparkSession, root: str, name: str, days: Sequence[str] | None = None) -> DataFrame:
+    """A table of a store by the folders its manifest names, without listing the store."""
+    from newsloom.sources.sinks import read_manifest
+
+    m = read_manifest(spark, root).filter(F.col("table") == name)
+    m = m.filter(F.col("dt").isin(*[F.lit(d).cast("date") for d in days])) if days is not None else m
+    folders = [f"{root}/{r[0]}" for r in m.select("folder").orderBy("folder").collect()]  # one per day
+    if not folders:
+        raise ValueError(f"the manifest of {root} has no such days of {name}")
+    return spark.read.option("basePath", f"{root}/{name}").parquet(*folders)
+
+
+def workspace(spark: SparkSession, root: str, window: Sequence[str], whole: Sequence[str], low: str, high: str, prefix: str = "ws_") -> dict[str, DataFrame]:
+    """Named views on a store: tables of ``window`` between two days, tables of ``whole`` on all days. Nothing is copied."""
+    out = {n: store_days(spark, root, n, low, high) for n in window} | {n: store_days(spark, root, n) for n in whole}
+    for n, df in out.items():
+        df.createOrReplaceTempView(prefix + n)
+    return out
+
+
+_kept: dict[tuple, DataFrame] = {}
+
+
+def kept(df: DataFrame, *key: str) -> DataFrame:
+    """A table kept in the shared folder under a key, as store, hash of its manifest and days; computed once a session."""
+    from newsloom.cut import exists, materialize
+
+    at = (df.sparkSession.sparkContext.applicationId, *key)
+    if at not in _kept or not exists(df.sparkSession, _kept[at]._newsloom_path):
+        _kept[at] = materialize(df, "kept")
+    return _kept[at]
