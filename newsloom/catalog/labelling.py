@@ -11,7 +11,7 @@ from newsloom.catalog import query, read
 from newsloom.catalog.relations import BRONZE, NODES, UP
 from newsloom.cut import scratch
 from newsloom.functions import ids, text
-from newsloom.operators import rules
+from newsloom.operators import ranks, rules
 from newsloom.plans import graph
 
 S = SparkSession
@@ -246,7 +246,7 @@ def cl12(spark: S, d: str) -> DataFrame:
     """A row takes its cluster's label unless a rater decided, it lies far out, or its own rules contradict."""
     key = F.coalesce("source", F.lit(""))
     w = weak(spark, d).withColumn("k", key)
-    far = w.groupBy("k").agg(F.percentile("size", F.lit(0.95)).alias("far"))
+    far = ranks.quantiles(w.withColumn("size", F.col("size").cast("double")), "k", "size", [0.95], ["far"])
     t = cl11(spark, d).select(key.alias("k"), F.col("label").alias("cluster"))
     j = w.join(far, "k").join(t, "k").join(votes(spark, d), "doc_id", "left")
     clash = ((F.col("cluster") == "keep") & F.col("label").startswith("drop")) | ((F.col("cluster") == "drop") & F.col("label").startswith("keep"))

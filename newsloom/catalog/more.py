@@ -175,9 +175,8 @@ def sc25(spark: S, d: str) -> DataFrame:
 
 @query("tx12_article_fields")
 def tx12(spark: S, d: str) -> DataFrame:
-    """Title, summary and paragraphs of the corpus texts that are pages."""
-    pages = read(spark, d, "documents").filter(F.contains("text", F.lit("<p")))
-    return pages.select("doc_id", html.article_title(F.col("text")).alias("title"), html.article_summary(F.col("text")).alias("summary"), html.article_text(F.col("text")).alias("body"))
+    """Title, summary and blocks of text of every corpus text, read as a page."""
+    return read(spark, d, "documents").select("doc_id", html.article(F.col("text")).alias("a")).select("doc_id", "a.title", "a.summary", F.col("a.text").alias("body"))
 
 
 @query("tx13_enrich_from_pages", "SELECT b.doc_id, coalesce(b.summary_text, n.market_context_text) AS summary FROM (SELECT DISTINCT doc_id, summary_text, document_identifier FROM bronze_candidates) b LEFT JOIN (SELECT document_identifier, min(market_context_text) AS market_context_text FROM graph_doc_nodes_daily WHERE document_identifier IS NOT NULL GROUP BY 1) n USING (document_identifier)")

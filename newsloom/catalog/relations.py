@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.catalog import query, read
 from newsloom.functions import text
-from newsloom.operators import tables
+from newsloom.operators import ranks, tables
 from newsloom.plans import graph
 
 S = SparkSession
@@ -418,7 +418,7 @@ def ag26(spark: S, d: str) -> DataFrame:
 
 @query("ag27_group_quantile", "SELECT factor_label, round(quantile_cont(source_weight, 0.2), 8) AS q20, round(median(source_weight), 8) AS q50 FROM silver_factor_mentions GROUP BY 1")
 def ag27(spark: S, d: str) -> DataFrame:
-    return read(spark, d, SILVER).groupBy("factor_label").agg(F.round(F.percentile("source_weight", 0.2), 8).alias("q20"), F.round(F.median("source_weight"), 8).alias("q50"))
+    return rounded(ranks.quantiles(read(spark, d, SILVER), "factor_label", "source_weight", [0.2, 0.5], ["q20", "q50"]), "q20", "q50")
 
 
 @query("ag28_any_in_family", "SELECT source_domain, bool_or(market_context_score >= 8) AS strong, bool_and(coalesce(tone, 0) < 0) AS all_negative FROM graph_doc_nodes_daily GROUP BY 1")

@@ -51,11 +51,15 @@ def tx06(spark: S, d: str) -> DataFrame:
     return read(spark, d, "bronze_candidates").select("doc_id", F.size(s).cast("long").alias("n"), F.array_join(s, "\n").alias("sentences"))
 
 
-@query("tx07_context")
+_OWN = " || ".join(SENTENCES.format(c) for c in ("title", "summary_text", "body_text"))
+_BEST = "list_slice(list_reverse_sort(list_filter(list_transform(list_distinct(CASE WHEN len(own) > 0 THEN own ELSE rest END), lambda x : struct_pack(hits := " + " + ".join(f"CAST(contains({UP.format('x')}, '{t}') AS INTEGER)" for t in TERMS) + ", size := length(x), t := x)), lambda q : q.hits > 0)), 1, 5)"
+
+
+@query("tx07_context", f"SELECT doc_id, CASE WHEN len(best) > 0 THEN array_to_string(list_transform(best, lambda q : q.t), ' || ') END AS context, CAST(coalesce(list_sum(list_transform(best, lambda q : q.hits)), 0) AS DOUBLE) AS score FROM (SELECT doc_id, {_BEST} AS best FROM (SELECT doc_id, {_OWN} AS own, {SENTENCES.format('relevant_text')} AS rest FROM bronze_candidates))")
 def tx07(spark: S, d: str) -> DataFrame:
     b = read(spark, d, "bronze_candidates")
     t, score = text.context([F.col("title"), F.col("summary_text"), F.col("body_text")], F.col("relevant_text"), TERMS)
-    return b.select("doc_id", t.alias("context"), score.alias("score"))
+    return b.select("doc_id", F.struct(t.alias("context"), score.alias("score")).alias("c")).select("doc_id", "c.*")
 
 
 @query("tx08_relevance", f"SELECT m.doc_id, m.factor_label, CASE WHEN contains(' ' || form || ' ', ' ' || upper(replace(m.factor_label, '_', ' ')) || ' ') THEN 1.0 ELSE 0.0 END AS relevance FROM (SELECT DISTINCT doc_id, factor_label FROM silver_factor_mentions WHERE factor_label IS NOT NULL) m JOIN (SELECT DISTINCT doc_id, {FORM.format('title')} AS form FROM graph_doc_nodes_daily) n USING (doc_id)")
@@ -90,6 +94,15 @@ def tx20(spark: S, d: str) -> DataFrame:
     return retrieval.nearest(e, e.filter("vec_id % 20 = 0"), 5).select("query_id", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
+@query("tx20_indexed_search")
+def tx20_indexed(spark: S, d: str) -> DataFrame:
+    """The same queries over an index of cells, of which as many are probed as a recall of 0.95 needs; recall is measured in the tests."""
+    e = read(spark, d, "embeddings")
+    c = retrieval.centroids(e, 32)
+    index, asked = materialize(retrieval.indexed(e, c), "index"), e.filter("vec_id % 20 = 0")
+    return retrieval.search(index, c, asked, 5, probes=retrieval.probes_for(index, c, asked, 5))
+
+
 @query("tx21_lexical_score", "SELECT doc_id, round(0.8 * (CAST(contains(' ' || t || ' ', ' notes ') AS INTEGER) + CAST(contains(' ' || t || ' ', ' from ') AS INTEGER)) / 2 + 0.2 * CAST(contains(lower(title), 'notes from') AS INTEGER), 6) AS score FROM (SELECT doc_id, title, regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g') AS t FROM graph_doc_nodes_daily WHERE title IS NOT NULL)")
 def tx21(spark: S, d: str) -> DataFrame:
     n = read(spark, d, "graph_doc_nodes_daily").filter("title is not null")
@@ -106,8 +119,7 @@ def tx23(spark: S, d: str) -> DataFrame:
 
 def fingerprints(spark: S, d: str) -> DataFrame:
     docs = read(spark, d, "documents").filter("trim(text) <> ''")
-    tokens = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
-    return docs.select("doc_id", tokens.alias("t")).filter(F.size("t") > 0).select("doc_id", ids.simhash(F.col("t")).alias("fingerprint"))
+    return docs.select("doc_id", ids.text_simhash(F.col("text")).alias("fingerprint")).filter("fingerprint is not null")
 
 
 @query("tx24_simhash")
@@ -130,6 +142,15 @@ def tx25_classes(spark: S, d: str) -> DataFrame:
     return retrieval.fingerprint_classes(fingerprints(spark, d), "doc_id", "fingerprint")
 
 
+@query("tx25_diversified")
+def tx25_diversified(spark: S, d: str) -> DataFrame:
+    """For every day the ten best documents that are no near copies of a better one."""
+    n = read(spark, d, "graph_doc_nodes_daily").select("doc_id", "partition_date", "document_identifier", "title", "market_context_score").distinct()
+    n = n.withColumn("h", ids.text_simhash(F.col("title")))
+    got = retrieval.diversified(n, "partition_date", [F.desc_nulls_last("market_context_score"), F.asc("doc_id")], "document_identifier", "h", 10)
+    return got.select("partition_date", "doc_id", "place")
+
+
 @query("tx32_phased_search", "SELECT doc_id, min(phase) AS phase FROM (SELECT doc_id, 1 AS phase FROM graph_doc_nodes_daily WHERE market_context_score >= 8 UNION ALL SELECT doc_id, 2 FROM graph_doc_nodes_daily WHERE market_context_score >= 4 UNION ALL SELECT doc_id, 3 FROM graph_doc_nodes_daily WHERE market_context_score >= 1) GROUP BY 1")
 def tx32(spark: S, d: str) -> DataFrame:
     s = F.col("market_context_score")
@@ -157,7 +178,8 @@ def wn10(spark: S, d: str) -> DataFrame:
     return sampling.quota_pick(n, "doc_id", [("strong", "market_context_score >= 8", 100), ("negative", "tone <= -4", 100)], "doc_id").select("doc_id", "stratum")
 
 
-@query("wn11_capped_sample")
+@query("wn11_capped_sample", """WITH n AS (SELECT DISTINCT source_type, source_domain, doc_id FROM graph_doc_nodes_daily WHERE source_type IS NOT NULL AND source_domain IS NOT NULL), a AS (SELECT *, row_number() OVER (PARTITION BY source_type, source_domain ORDER BY doc_id) AS k FROM n),
+  s AS (SELECT *, CASE WHEN k <= 3 THEN 0 WHEN k <= 6 THEN 1 ELSE 2 END AS step FROM a WHERE k <= 12) SELECT * FROM (SELECT source_type, source_domain, doc_id, step, row_number() OVER (PARTITION BY source_type ORDER BY step, doc_id) AS pick FROM s) WHERE pick <= 200""")
 def wn11(spark: S, d: str) -> DataFrame:
     n = read(spark, d, "graph_doc_nodes_daily").filter("source_type is not null and source_domain is not null").select("source_type", "source_domain", "doc_id").distinct()
     return sampling.capped_sample(n, "source_type", "source_domain", "doc_id", 200)

@@ -68,6 +68,23 @@ def src12(spark: S, d: str) -> DataFrame:
     return readers.from_manifest(spark, root, "silver", [str(last)]).groupBy("dt", "factor_label").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("src09_content_keys", "SELECT 0 AS again, (SELECT count(*) FROM orders) AS \"rows\"")
+def src09_full(spark: S, d: str) -> DataFrame:
+    """Files of a table by the content of their rows: a second look finds none of them new."""
+    o = read(spark, d, "orders")
+    seen = readers.content_keys(o)
+    return readers.content_keys(o, seen).agg(F.count(F.lit(1)).cast("int").alias("again")).join(seen.agg(F.sum("rows").alias("rows")))  # one row each
+
+
+@query("src10_stacked", "SELECT k, name, balance FROM (SELECT c_custkey AS k, c_name AS name, c_acctbal AS balance FROM customer UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier)")
+def src10_full(spark: S, d: str) -> DataFrame:
+    """Files of the same columns read as one frame."""
+    root = scratch(spark, "stack")
+    read(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")).write.parquet(f"{root}/a")
+    read(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance")).write.parquet(f"{root}/b")
+    return readers.parquet_union(spark, f"{root}/a", f"{root}/b")
+
+
 @query("src13_scoped_tables", "SELECT 'bronze' AS \"table\", count(*) AS n, count(DISTINCT partition_date) AS days FROM bronze_candidates WHERE partition_date = (SELECT max(partition_date) FROM graph_doc_nodes_daily) UNION ALL SELECT 'nodes', count(*), count(DISTINCT partition_date) FROM graph_doc_nodes_daily WHERE partition_date = (SELECT max(partition_date) FROM graph_doc_nodes_daily) UNION ALL SELECT 'silver', count(*), count(DISTINCT bucket_time) FROM silver_factor_mentions WHERE bucket_time IS NOT NULL")
 def src13_full(spark: S, d: str) -> DataFrame:
     """Daily tables of the last day only, the panel's table on all days."""

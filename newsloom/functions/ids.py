@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+#: Runs of letters and digits.
+WORD = re.compile(r"[^\W_]+")
+
 
 def sha_id(c: Column) -> Column:
     """First eight bytes of the SHA-256 of a text as 16 hexadecimal digits: an unsigned 64-bit id kept exact."""
@@ -43,6 +48,29 @@ def simhash(tokens: Column) -> Column:
     return F.when(tokens.isNotNull(), _majority(F.coalesce(F.transform(tokens, lambda t: F.xxhash64(t)), empty)))
 
 
+@F.pandas_udf(LongType())
+def _text_simhash(texts: pd.Series) -> pd.Series:
+    from hashlib import blake2b
+
+    out, known = np.zeros(len(texts), np.int64), {}
+    none = np.ones(len(texts), bool)
+    for k, t in enumerate(texts):
+        words = set(WORD.findall(t.lower())) if t else ()
+        if words:
+            for w in words:
+                if w not in known:
+                    known[w] = np.frombuffer(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), np.uint8)
+            bits = np.unpackbits(np.stack([known[w] for w in words]), axis=1, bitorder="little")
+            votes = 2 * bits.sum(axis=0, dtype=np.int64) >= len(words)
+            out[k], none[k] = np.packbits(votes, bitorder="little").view(np.int64)[0], False
+    return pd.Series(out).astype("Int64").mask(none)
+
+
+def text_simhash(text: Column) -> Column:
+    """64-bit SimHash of the distinct words of a text, cut and hashed in one pass; null without words."""
+    return _text_simhash(text)
+
+
 def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 

@@ -83,14 +83,21 @@ def context(parts: Sequence[Column], fallback: Column, terms: Sequence[str], kee
     """The sentences that hold most of the terms, joined, and the sum of their hits.
 
     parts: texts in order; fallback: used where they have no sentence. Sentences without a hit and
-    repeated ones are dropped; the rest is ordered by hits, length and text, all descending.
+    repeated ones are dropped; the rest is ordered by hits, length and text, all descending. Every text is split once.
     """
+
+    def scored(every: Column) -> Column:
+        rows = F.transform(F.array_distinct(every), lambda s: F.struct(term_hits(s, terms).alias("hits"), F.length(s).alias("size"), s.alias("text")))
+        return F.slice(F.sort_array(F.filter(rows, lambda x: x["hits"] > 0), asc=False), 1, keep)
+
+    def told(best: Column) -> Column:
+        joined = F.array_join(F.transform(best, lambda x: x["text"]), " || ")
+        return F.struct(F.when(F.size(best) > 0, joined).alias("text"), F.aggregate(best, F.lit(0), lambda a, x: a + x["hits"]).cast("double").alias("score"))
+
     own = F.flatten(F.array(*[sentences(p) for p in parts]))
-    every = F.array_distinct(F.when(F.size(own) > 0, own).otherwise(sentences(fallback)))
-    scored = F.filter(F.transform(every, lambda s: F.struct(term_hits(s, terms).alias("hits"), F.length(s).alias("size"), s.alias("text"))), lambda x: x["hits"] > 0)
-    best = F.slice(F.sort_array(scored, asc=False), 1, keep)
-    text = F.array_join(F.transform(best, lambda x: x["text"]), " || ")
-    return F.when(F.size(best) > 0, text), F.aggregate(best, F.lit(0), lambda a, x: a + x["hits"]).cast("double")
+    every = bound(own, lambda o: F.when(F.size(o) > 0, o).otherwise(sentences(fallback)))
+    both = bound(scored(every), told)
+    return both["text"], both["score"]
 
 
 def split_list(c: Column) -> Column:
@@ -107,7 +114,7 @@ def geo_labels(c: Column) -> Column:
 
 def tone(c: Column) -> Column:
     """Leading number of a comma-separated field."""
-    return F.expr("try_cast(x as double)") if c is None else F.regexp_extract(c, r"^\s*(-?\d+(?:\.\d+)?)", 1).try_cast("double")
+    return F.regexp_extract(c, r"^\s*(-?\d+(?:\.\d+)?)", 1).try_cast("double")
 
 
 def event_time(stamp: Column, day: Column) -> Column:
@@ -159,12 +166,15 @@ def clip(c: Column, size: int) -> Column:
     return F.when(F.length(c) <= size, c).otherwise(F.regexp_replace(F.substring(c, 1, size), r"\s+\S*$", ""))
 
 
+# Public suffixes of two labels.
+SUFFIXES = ("co.uk", "com.au", "com.br", "com.cn", "com.tw", "co.jp", "co.in", "co.nz", "org.uk", "gov.uk", "europa.eu")
+
+
 def root_domain(c: Column) -> Column:
-    """Last two labels of a domain, three where the second-level label is a public one."""
+    """Last two labels of a domain, three where the last two are a public suffix."""
     d = F.regexp_replace(F.regexp_replace(F.lower(F.btrim(c)), r":\d+$", ""), r"^www\.", "")
-    p = F.split(d, r"\.")
-    n = F.when(F.element_at(p, -2).isin("co", "com", "org", "net", "gov", "ac") & (F.size(p) > 2), 3).otherwise(2)
-    return F.when(F.size(p) <= 2, d).otherwise(F.array_join(F.slice(p, F.size(p) - n + 1, n), "."))
+    last = lambda k: F.substring_index(d, ".", -k)
+    return F.when(last(2).isin(*SUFFIXES), last(3)).otherwise(last(2))
 
 
 def first_text(*cols: Column) -> Column:

@@ -173,11 +173,12 @@ def _viterbi(by: dict[int, list[tuple[int, str, float]]], n: int) -> list[str]:
     return [v for v in out if v]
 
 
-def segmentation(rows: DataFrame, rounds: int = 3, longest: int = 6, strength: float = 1.0) -> DataFrame:
+def segmentation(rows: DataFrame, rounds: int = 3, longest: int = 64, strength: float = 1.0) -> DataFrame:
     """Learn the cuts of ambiguous entries.
 
     rows: (field, value, amb, off, n), the distinct entries of the columns with their counts.
-    rounds: EM rounds. longest: most atoms in one unquoted value. strength: weight of the base measure.
+    rounds: EM rounds. longest: most atoms in one unquoted value; it bounds the lattice of an entry that is one long list of
+    commas, and no name has so many. strength: weight of the base measure.
     Returns (field, text, off, values) for every ambiguous entry.
     """
     spark = rows.sparkSession

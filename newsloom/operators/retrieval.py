@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import combinations
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import vectors
@@ -16,9 +18,8 @@ from newsloom.functions.ids import hamming
 def nearest(collection: DataFrame, queries: DataFrame, k: int, ident: str = "vec_id", vector: str = "embedding", block: int = 512, most: int = 100_000) -> DataFrame:
     """The ``k`` most similar vectors (cosine) of every query, without the query itself.
 
-    The queries travel to the collection in blocks: every task keeps the best ``k`` of its own vectors per
-    query and only those are shuffled. Queries are counted first; beyond ``most`` they are dealt by id into sets
-    of about that size, each of which is one pass over the collection. Ties are broken by id, inside batches too.
+    The queries travel to the collection in sets of at most ``most``, dealt by id and counted first: every task keeps the best ``k`` of its
+    own vectors per query, and only those are shuffled. Each set is one pass over the collection. Ties are broken by id.
     """
     sets = max(1, -(-queries.count() // most))
     if sets == 1:
@@ -28,37 +29,146 @@ def nearest(collection: DataFrame, queries: DataFrame, k: int, ident: str = "vec
     return reduce(DataFrame.unionByName, parts)
 
 
+def _unit(v: np.ndarray) -> np.ndarray:
+    return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+
+
+def _better(ids: np.ndarray, scores: np.ndarray, new_ids: np.ndarray, new_scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of two lists per query the ``k`` best entries, by score and then by id."""
+    i, s = np.concatenate([ids, new_ids], axis=1), np.concatenate([scores, new_scores], axis=1)
+    order = np.lexsort((i, -s), axis=1)[:, :k]
+    return np.take_along_axis(i, order, 1), np.take_along_axis(s, order, 1)
+
+
+def _best_of(q: np.ndarray, q_ids: np.ndarray, v: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` best of the vectors for every query; ``own`` ascending, so that ties keep the smaller ids."""
+    s = q @ v.T
+    s[q_ids[:, None] == own[None, :]] = -np.inf
+    top = np.argsort(-s, axis=1, kind="stable")[:, :k]
+    return own[top], np.take_along_axis(s, top, 1)
+
+
 def _nearest(collection: DataFrame, queries: DataFrame, k: int, ident: str, vector: str, block: int) -> DataFrame:
     """One set of queries of :func:`nearest`."""
-    import numpy as np
-
-    rows = queries.select(ident, vector).toArrow().to_pydict()
+    rows = queries.select(ident, vector).filter(F.col(vector).isNotNull()).toArrow().to_pydict()
     q_ids = np.array(rows[ident], np.int64)
-    q = np.array(rows[vector], np.float64)
-    q = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300) if len(q) else q
-    sent = collection.sparkSession.sparkContext.broadcast((q_ids, q))
+    sent = collection.sparkSession.sparkContext.broadcast((q_ids, _unit(np.array(rows[vector], np.float64)) if len(q_ids) else np.zeros((0, 1))))
 
     def run(batches):  # noqa: ANN001, ANN202
         ids, qs = sent.value
+        best_i, best_s = np.full((len(ids), k), np.iinfo(np.int64).max), np.full((len(ids), k), -np.inf)
         for pdf in batches:
             if not len(pdf) or not len(ids):
                 continue
-            pdf = pdf.sort_values(ident)  # the stable sort by score below then leaves ties in the order of ids
-            own = pdf[ident].to_numpy()
-            v = np.stack(pdf[vector].to_numpy()).astype(np.float64)
-            v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+            pdf = pdf.sort_values(ident)
+            own, v = pdf[ident].to_numpy(), _unit(np.stack(pdf[vector].to_numpy()).astype(np.float64))
             for lo in range(0, len(ids), block):
-                s = qs[lo : lo + block] @ v.T
-                s[ids[lo : lo + block, None] == own[None, :]] = -np.inf
-                top = np.argsort(-s, axis=1, kind="stable")[:, : k + 8]
-                r = np.repeat(np.arange(len(top)), top.shape[1])
-                c = top.ravel()
-                out = pd.DataFrame({"query_id": ids[lo : lo + block][r], ident: own[c], "score": s[r, c]})
-                yield out[np.isfinite(out["score"])]
+                at = slice(lo, lo + block)
+                best_i[at], best_s[at] = _better(best_i[at], best_s[at], *_best_of(qs[at], ids[at], v, own, k), k)
+        for lo in range(0, len(ids), 4096):
+            i, s = best_i[lo : lo + 4096], best_s[lo : lo + 4096]
+            ok = np.isfinite(s)
+            yield pd.DataFrame({"query_id": np.repeat(ids[lo : lo + 4096], ok.sum(axis=1)), ident: i[ok], "score": s[ok]})
 
     part = collection.select(ident, vector).filter(F.col(vector).isNotNull()).mapInPandas(run, f"query_id long, {ident} long, score double")
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col(ident).alias("i")))), 1, k)
-    return part.groupBy("query_id").agg(best.alias("b")).select("query_id", F.posexplode("b").alias("p", "x")).select("query_id", F.col("x.i").alias(ident), (-F.col("x.s")).alias("score"), (F.col("p") + 1).alias("rank"))
+    return _first(part, ident, k)
+
+
+def _first(hits: DataFrame, ident: str, k: int) -> DataFrame:
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc(ident))
+    return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", ident, "score", "rank")
+
+
+# --- an index of cells ---------------------------------------------------------------------------------
+
+
+def centroids(collection: DataFrame, cells: int, ident: str = "vec_id", vector: str = "embedding", sample: int = 50_000, rounds: int = 8) -> np.ndarray:
+    """Unit centroids of spherical k-means over a sample of about ``sample`` vectors chosen by a hash of their id (the bound of the fit)."""
+    known = collection.select(ident, vector).filter(F.col(vector).isNotNull())
+    n = known.count()
+    if n > sample:
+        known = known.filter(F.pmod(F.xxhash64(ident, F.lit(5)), F.lit(1 << 20)) < max(1, round((1 << 20) * sample / n)))
+    rows = known.toArrow().sort_by(ident).to_pydict()
+    v = _unit(np.array(rows[vector], np.float64)) if rows[ident] else np.zeros((1, 1))
+    c = v[np.linspace(0, len(v) - 1, min(cells, len(v))).astype(int)]
+    for _ in range(rounds):
+        of = (v @ c.T).argmax(axis=1)
+        total = np.zeros_like(c)
+        np.add.at(total, of, v)
+        c = np.where(np.linalg.norm(total, axis=1, keepdims=True) > 0, _unit(total), c)
+    return c
+
+
+def _cells(df: DataFrame, c: np.ndarray, count: int, ident: str, vector: str) -> DataFrame:
+    """(ident, vector, cell): every vector with its ``count`` nearest cells."""
+    sent = df.sparkSession.sparkContext.broadcast(c)
+
+    def run(batches):  # noqa: ANN001, ANN202
+        for pdf in batches:
+            if len(pdf):
+                s = _unit(np.stack(pdf[vector].to_numpy()).astype(np.float64)) @ sent.value.T
+                top = np.argpartition(-s, min(count, s.shape[1]) - 1, axis=1)[:, :count]
+                out = pdf.loc[pdf.index.repeat(top.shape[1])]
+                yield out.assign(cell=top.ravel().astype(np.int32))
+
+    return df.select(ident, vector).filter(F.col(vector).isNotNull()).mapInPandas(run, f"{ident} long, {vector} array<float>, cell int")
+
+
+def indexed(collection: DataFrame, c: np.ndarray, ident: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """The index: every vector with the cell of its nearest centroid."""
+    return _cells(collection, c, 1, ident, vector)
+
+
+def search(index: DataFrame, c: np.ndarray, queries: DataFrame, k: int, probes: int = 8, ident: str = "vec_id", vector: str = "embedding", group: int = 20_000) -> DataFrame:
+    """The ``k`` most similar vectors of every query among those of its ``probes`` nearest cells, scored exactly.
+
+    A cell of more than ``group`` vectors is dealt into blocks and its queries are sent to each, and likewise the other way round, so a crowded
+    cell is many tasks of bounded size. Recall depends on ``probes``; with as many as there are cells the result is exact.
+    """
+    asked = _cells(queries, c, probes, ident, vector)
+    # one row per cell, as many as centroids
+    size = index.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / group).cast("int").alias("parts")).join(asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / group).cast("int").alias("cuts")), "cell")
+    size = F.broadcast(size)
+    deal = lambda n: F.pmod(F.xxhash64(ident), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = index.join(size, "cell").withColumn("part", deal("parts")).withColumn("cut", every("cuts")).select("cell", "part", "cut", ident, vector)
+    b = asked.join(size, "cell").withColumn("cut", deal("cuts")).withColumn("part", every("parts")).select("cell", "part", "cut", ident, vector)
+
+    def best(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        if not len(x) or not len(y):
+            return pd.DataFrame({"query_id": [], ident: [], "score": []})
+        x = x.sort_values(ident)
+        own, v = x[ident].to_numpy(), _unit(np.stack(x[vector].to_numpy()).astype(np.float64))
+        out = []
+        for lo in range(0, len(y), 512):
+            ids, q = y[ident].to_numpy()[lo : lo + 512], _unit(np.stack(y[vector].to_numpy()[lo : lo + 512]).astype(np.float64))
+            i, s = _best_of(q, ids, v, own, k)
+            ok = np.isfinite(s)
+            out.append(pd.DataFrame({"query_id": np.repeat(ids, ok.sum(axis=1)), ident: i[ok], "score": s[ok]}))
+        return pd.concat(out)
+
+    keys = ["cell", "part", "cut"]
+    return _first(a.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(best, f"query_id long, {ident} long, score double"), ident, k)
+
+
+def probes_for(index: DataFrame, c: np.ndarray, queries: DataFrame, k: int, recall: float = 0.95, sample: int = 200, ident: str = "vec_id", vector: str = "embedding") -> int:
+    """Cells to probe for a recall: the fewest that hold this share of the true neighbours of about ``sample`` queries.
+
+    The neighbours are found exactly, in one pass over the collection; each is looked up in the index, and what counts is how near
+    its cell is to the query. Data without structure need most cells, clustered data few.
+    """
+    n = queries.count()
+    some = queries.select(ident, vector).filter(F.col(vector).isNotNull())
+    if n > sample:
+        some = some.filter(F.pmod(F.xxhash64(ident, F.lit(7)), F.lit(1 << 20)) < max(1, round((1 << 20) * sample / n)))
+    rows = some.toArrow().to_pydict()
+    if not rows[ident]:
+        return len(c)
+    place = (-(_unit(np.array(rows[vector], np.float64)) @ c.T)).argsort(axis=1).argsort(axis=1)
+    row = {q: r for r, q in enumerate(rows[ident])}
+    hits = nearest(index.select(ident, vector), some, k, ident, vector).join(index.select(ident, "cell"), ident).select("query_id", "cell").collect()  # k rows a sampled query
+    at = sorted(int(place[row[h["query_id"]], h["cell"]]) for h in hits)
+    return at[min(len(at) - 1, int(np.ceil(recall * len(at))) - 1)] + 1 if at else len(c)
 
 
 def lexical(query: Sequence[str], tokens: Column, text: Column) -> Column:
@@ -81,10 +191,23 @@ def scaled(df: DataFrame, score: str) -> DataFrame:
     return df.withColumn(f"{score}_scaled", vectors.minmax(F.col(score), lo, hi))
 
 
-def bands(simhash: Column, parts: int = 7) -> Column:
-    """Keys of a 64-bit fingerprint by pigeonhole: two fingerprints at most ``parts - 1`` bits apart share one."""
+def bands(simhash: Column, most: int = 6, agree: int = 2) -> Column:
+    """Keys of a 64-bit fingerprint by pigeonhole: of ``most + agree`` blocks two fingerprints at most ``most`` bits apart share at least ``agree``.
+
+    A key is a choice of ``agree`` blocks with their bits: more blocks in a key make its lists shorter and the keys more.
+    """
+    parts = most + agree
     edges = [round(64 * k / parts) for k in range(parts + 1)]
-    return F.array(*[F.struct(F.lit(k).alias("part"), F.shiftright(simhash, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).alias("bits")) for k, (a, b) in enumerate(zip(edges, edges[1:]))])
+    piece = [F.shiftright(simhash, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:])]
+
+    def key(chosen: tuple[int, ...]) -> Column:
+        bits, at = F.lit(0).cast("long"), 0
+        for k in chosen:
+            bits = bits.bitwiseOR(F.shiftleft(piece[k], at))
+            at += edges[k + 1] - edges[k]
+        return bits
+
+    return F.array(*[F.struct(F.lit(n).alias("part"), key(chosen).alias("bits")) for n, chosen in enumerate(combinations(range(parts), agree))])
 
 
 def fingerprint_classes(df: DataFrame, ident: str, simhash: str) -> DataFrame:
@@ -94,28 +217,45 @@ def fingerprint_classes(df: DataFrame, ident: str, simhash: str) -> DataFrame:
     return own.join(one, "__h").select(ident, "class_id")
 
 
-def fingerprint_pairs(df: DataFrame, ident: str, simhash: str, most: int = 6) -> DataFrame:
+def fingerprint_pairs(df: DataFrame, ident: str, simhash: str, most: int = 6, agree: int | None = None) -> DataFrame:
     """Pairs of different fingerprints at most ``most`` bits apart, over class representatives.
 
-    Equal fingerprints are one class, so a crowd of copies meets nobody twice. Returns (a, b, bits) of
-    the smallest ids of the classes; :func:`fingerprint_classes` has the members.
+    Equal fingerprints are one class, so a crowd of copies meets nobody twice. agree: blocks in a key (see :func:`bands`); by default as
+    many as keep the keys longer than the number of fingerprints needs (some 16, 21 or 26 bits), which changes the work and never the
+    result. Returns (a, b, bits) of the smallest ids of the classes; :func:`fingerprint_classes` has the members.
     """
     one = df.filter(F.col(simhash).isNotNull()).groupBy(F.col(simhash).alias("h")).agg(F.min(ident).alias("id"))
-    keys = one.select("id", "h", F.explode(bands(F.col("h"), most + 1)).alias("k")).select("id", "h", "k.*")
+    if agree is None:
+        n = one.count()
+        agree = next((g for g in (2, 3) if n <= 1 << (64 * g // (most + g) + 4)), 4)
+    keys = one.select("id", "h", F.explode(bands(F.col("h"), most, agree)).alias("k")).select("id", "h", "k.*")
     other = keys.select(F.col("id").alias("id2"), F.col("h").alias("h2"), "part", "bits")
     near = keys.join(other, ["part", "bits"]).filter((F.col("id") < F.col("id2")) & (hamming(F.col("h"), F.col("h2")) <= most))
     return near.select(F.col("id").alias("a"), F.col("id2").alias("b"), hamming(F.col("h"), F.col("h2")).alias("bits")).distinct()
 
 
-def diversify(hits: DataFrame, group: str, order: Sequence[str], domain: str, per_domain: int = 2, penalty: float = 0.05) -> DataFrame:
-    """Re-score the short result list of every query: from the third hit of a domain on each loses ``penalty``."""
+def diversified(hits: DataFrame, query: str, order: Sequence[Column], url: str, simhash: str, keep: int, most: int = 6, heads: int = 64) -> DataFrame:
+    """The first ``keep`` hits of every query that are no near copies of a hit kept before: another address and path, and more than ``most`` bits apart.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(list(order), ascending=[False] + [True] * (len(order) - 1))
-        at = pdf.groupby(domain, dropna=False).cumcount()
-        return pdf.assign(adjusted=pdf[order[0]] - penalty * (at - per_domain + 1).clip(lower=0))
-
-    return hits.groupBy(group).applyInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in hits.schema.fields) + ", adjusted double")
+    The list is greedy, so it is settled row by row, on the first ``heads`` hits of a query only (the feature: a short list for readers).
+    """
+    w = Window.partitionBy(query).orderBy(*order)
+    short = hits.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= heads)
+    short = short.withColumn("__path", F.regexp_replace(F.regexp_replace(F.lower(url), r"^[a-z][a-z0-9+.-]*://", ""), r"[?#].*$|/+$", ""))
+
+    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
+        kept: list[int] = []
+        seen: set[str] = set()
+        prints: list[int] = []
+        for k, (path, h) in enumerate(zip(*(pdf.sort_values("place")[c] for c in ("__path", simhash)))):
+            near = not pd.isna(h) and any(((int(h) ^ x) & ((1 << 64) - 1)).bit_count() <= most for x in prints)
+            if len(kept) < keep and not near and not (path and path in seen):
+                kept.append(k)
+                seen.add(path)
+                prints += [] if pd.isna(h) else [int(h)]
+        return pdf.sort_values("place").iloc[kept]
+
+    return short.groupBy(query).applyInPandas(settle, short.schema).drop("__path")
 
 
 def widening(df: DataFrame, score: str, thresholds: Sequence[float], most: int, ident: str) -> DataFrame:

@@ -9,10 +9,10 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.cut import materialize
+from newsloom.operators.ranks import ranked
 
 
 def first_match(rules: Sequence[tuple], names: Sequence[str], types: Sequence[str]) -> Column:
@@ -59,14 +59,7 @@ def clamp(c: Column, low: float, high: float) -> Column:
 def packets(df: DataFrame, order: Sequence[Column], size: int) -> DataFrame:
     """Adds ``packet`` (from 1) and ``place``: consecutive packets of ``size`` rows.
 
-    Rows are numbered over one global range sort: counts per task first, then offsets, so no task holds all rows.
+    Rows are numbered over one global range sort, so no task holds all rows. order must be total.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    at = F.monotonically_increasing_id()
-    rows = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__at", at), "ordered")
-    task = F.shiftright("__at", 33)
-    counts = rows.groupBy(task.alias("__task")).agg(F.count(F.lit(1)).alias("__n"))  # one row per task
-    before = counts.select("__task", F.coalesce(F.sum("__n").over(Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    placed = rows.withColumn("__task", task).join(F.broadcast(before), "__task")
-    number = F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.select(*df.columns, (F.floor(number / size) + 1).cast("long").alias("packet"), (number % size + 1).cast("long").alias("place"))
+    got = ranked(df, [], order)
+    return got.select(*df.columns, (F.floor((F.col("rank") - 1) / size) + 1).cast("long").alias("packet"), ((F.col("rank") - 1) % size + 1).cast("long").alias("place"))

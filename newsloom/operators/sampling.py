@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -27,11 +26,9 @@ def quota_pick(df: DataFrame, key: str, strata: Sequence[tuple[str, str, int]],
 def capped_sample(df: DataFrame, label: str, domain: str, order: str, quota: int, caps: Sequence[int] = (3, 6, 12)) -> DataFrame:
     """Fill a quota per label, first with few rows per domain, then with more until it is full.
 
-    A label's candidates are first cut to ``caps[-1]`` rows per domain and then to the rows that any step
-    could take, both in parallel; only that bounded list is settled in order.
+    A row's step is the first cap that its place in its domain fits, and the steps fill the quota one after the
+    other; both are row numbers that Spark limits in every partition before it shuffles.
     """
-    from pyspark.sql import Window
-
     w = Window.partitionBy(label, domain).orderBy(order)
     few = df.withColumn("at", F.row_number().over(w)).filter(F.col("at") <= caps[-1])
     step = F.lit(len(caps))
@@ -40,8 +37,4 @@ def capped_sample(df: DataFrame, label: str, domain: str, order: str, quota: int
     few = few.withColumn("step", step)
     full = Window.partitionBy(label).orderBy("step", order)
     few = few.withColumn("pick", F.row_number().over(full)).filter(F.col("pick") <= quota)
-
-    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf.sort_values("pick")
-
-    return few.groupBy(label).applyInPandas(settle, few.schema).drop("at")
+    return few.drop("at")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsloom.operators.ranks import ranked
+
 
 def unseen(new: DataFrame, old: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose keys ``old`` lacks; null keys count as unseen."""
@@ -67,10 +69,13 @@ def overlapping(index: DataFrame, ranges: DataFrame, bins: int = 4096) -> DataFr
 
 
 def round_robin(df: DataFrame, stratum: str, order: Sequence[Column]) -> DataFrame:
-    """Adds ``turn``: one row of every stratum per round, larger strata first."""
-    size = F.count(F.lit(1)).over(Window.partitionBy(stratum))
-    out = df.withColumn("__size", size).withColumn("turn", F.row_number().over(Window.partitionBy(stratum).orderBy(*order)))
-    return out.orderBy("turn", F.desc("__size"), stratum).drop("__size")
+    """Adds ``turn``: one row of every stratum per round, larger strata first; order must be total.
+
+    Turns are ranks of one global sort, so a stratum that holds most rows is not gathered in a task.
+    """
+    size = df.groupBy(F.col(stratum).alias("__s")).agg(F.count(F.lit(1)).alias("__size"))
+    out = ranked(df, [stratum], list(order)).withColumnRenamed("rank", "turn").join(size, F.col(stratum).eqNullSafe(F.col("__s")))
+    return out.orderBy("turn", F.desc("__size"), stratum).drop("__size", "__s")
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from newsloom.functions import ids, text
 from newsloom.sources.readers import alias
 
-TITLES = ("title", "page_title", "resolved_title", "headline")
-SUMMARIES = ("summary", "summary_text", "description", "lead")
-BODIES = ("text", "body_text", "body", "content")
+# Names under which a title, a summary and a body come, in order of preference. The store's own name for a summary comes last.
+TITLES = ("title", "article_title", "headline", "source_title")
+SUMMARIES = ("summary", "snippet", "description", "excerpt", "lead", "lead_text", "summary_text")
+BODIES = ("text", "article_text", "body_text", "content", "translated_text", "full_text")
 
 
 def documents(raw: DataFrame) -> DataFrame:

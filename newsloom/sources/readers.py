@@ -36,15 +36,28 @@ def date_in_path(c: Column) -> Column:
 
 
 def new_files(spark: SparkSession, path: str, catalog: DataFrame | None = None) -> DataFrame:
-    """(path, sha256, bytes) of the files not in ``catalog``, which holds the same columns: a file is loaded once per content."""
+    """(path, sha256, bytes) of the files not in ``catalog``, which holds the same columns: a file is loaded once per content.
+
+    For files of any form up to 2 GB, which one task reads whole; :func:`content_keys` tells larger tables by their rows.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     seen = files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
     return seen if catalog is None else seen.join(catalog.select("path", "sha256"), ["path", "sha256"], "left_anti")
 
 
-def csv(spark: SparkSession, path: str) -> DataFrame:
-    """Delimited text with a header, every column a string, quoted line breaks kept."""
-    return spark.read.csv(path, header=True, multiLine=True, escape='"')
+def content_keys(df: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
+    """(path, rows, key) of the files of a table, whatever their size: a file is known again by the hashes of its rows, in any order.
+
+    Rows are hashed where they are read and combined per file; files in ``catalog`` with the same key are left out.
+    """
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    got = df.select(F.input_file_name().alias("path"), row.alias("h")).groupBy("path").agg(F.count(F.lit(1)).alias("rows"), F.concat_ws("-", F.hex(F.bit_xor("h")), F.hex(F.sum(F.shiftrightunsigned("h", 24)))).alias("key"))
+    return got if catalog is None else got.join(catalog.select("rows", "key"), ["rows", "key"], "left_anti")
+
+
+def csv(spark: SparkSession, path: str, quoted_breaks: bool = True) -> DataFrame:
+    """Delimited text with a header, every column a string. quoted_breaks: line breaks inside quotes are kept, and a file is one task; without them files are split."""
+    return spark.read.csv(path, header=True, multiLine=quoted_breaks, escape='"')
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
