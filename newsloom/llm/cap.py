@@ -1,25 +1,18 @@
 """Capping records per dominant contributor.
 
 One global range sort by (group, contributor, quality) gives every record its place; no contributor is
-ever gathered in one task, however many records it holds. Each task numbers the rows of its runs (rows of one
-contributor that follow one another). Only the first run of a task can have begun in an earlier one: every
-task reports its last run, a prefix sum over these reports, one row per task, says how far that run had come,
-and adding it gives the exact position below the contributor's start. Records are never joined on their
-contributor or group.
+ever gathered in one task, however many records it holds. Prefix sums over the tasks give exact positions, and
+the position below the contributor's start is the rank that is held against the cap (see
+:mod:`newsloom.operators.ranks`). Records are never joined on their contributor or group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.cut import materialize
+from newsloom.operators.ranks import ranked
 
 #: Rows of a table that may be sent to every task: well below a hundred megabytes.
 SENT_ROWS = 200_000
@@ -34,52 +27,6 @@ def site(domain: Column) -> Column:
     return F.when(d != "", d)
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """Adds to sorted rows with a ``__key``: ``__task``, ``__at`` (place in the task), ``__run`` (place in the run of the key, from 1) and ``__first`` (the task's first run)."""
-    names = [f.name for f in rows.schema.fields]
-    column = names.index("__key")
-    spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", __task int, __at long, __run long, __first boolean"
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        last, length, first, at = None, 0, True, 0
-        for b in batches:
-            n = b.num_rows
-            if not n:
-                continue
-            key, place = b.column(column), np.arange(n)
-            new = np.ones(n, bool)
-            new[0] = key[0].as_py() != last
-            if n > 1:
-                new[1:] = pc.not_equal(key[1:], key[:-1]).to_numpy(zero_copy_only=False)
-            number = place - np.maximum.accumulate(np.where(new, place, 0)) + 1
-            runs = np.cumsum(new)
-            number[runs == 0] += length
-            in_first = runs == 1 if last is None else (runs == 0) & first
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(n, task, np.int32)), pa.array(at + place), pa.array(number), pa.array(in_first)], names=[*names, "__task", "__at", "__run", "__first"])
-            last, length, first, at = key[n - 1].as_py(), int(number[-1]), bool(in_first[-1]), at + n
-
-    return rows.mapInArrow(run, spec)
-
-
-def ranked(df: DataFrame, keys: list[str], order: list[Column], parts: int | None = None) -> DataFrame:
-    """Number the rows of every key by ``order``: adds ``rank`` (from 1) without gathering a key in one task.
-
-    order must be total (end with a unique column), so that a repeated task finds the same places.
-    """
-    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by = [F.col(k).asc_nulls_first() for k in keys] + order
-    keyed = df.withColumn("__key", F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}))
-    table = materialize(_numbered(keyed.repartitionByRange(n, *by).sortWithinPartitions(*by)), "sorted")
-    # one row per task from here on: its first key, and its last one with the rows it has of that
-    task = table.groupBy("__task").agg(F.min_by("__key", "__at").alias("head"), F.max_by(F.struct("__key", "__run"), "__at").alias("tail"))
-    task = task.select("__task", "head", F.col("tail.__key").alias("tail"), F.sum("tail.__run").over(Window.partitionBy("tail.__key").orderBy("__task")).alias("so_far"))
-    line = Window.orderBy("__task")
-    before = task.select("__task", "head", F.lag("tail").over(line).alias("tail"), F.lag("so_far").over(line).alias("__before")).filter("head = tail").select("__task", "__before")
-    out = table.join(F.broadcast(before), "__task", "left")
-    return out.select(*df.columns, (F.col("__run") + F.when(F.col("__first"), F.coalesce("__before", F.lit(0))).otherwise(0)).alias("rank"))
-
-
 def over_cap(df: DataFrame, group: str, contributor: Column, order: list[Column], ident: str, share: float | None = None, most: int | None = None, least: int = 1) -> DataFrame:
     """Rank the records of every contributor inside ``group`` and mark those beyond the cap.
 

@@ -51,9 +51,9 @@ def stripes(records: DataFrame, hold: int = 1_000_000) -> DataFrame:
                     had = len(c)
                     c.update(items[k:])
                     size += len(c) - had
-                if size > hold:
-                    yield from flush(acc, total)
-                    size = 0
+                    if size > hold:  # also inside a record: one with very many items fills the memory alone
+                        yield from flush(acc, total)
+                        size = 0
         yield from flush(acc, total)
 
     clean = F.array_sort(F.array_distinct(F.filter("items", lambda x: x.isNotNull())))

@@ -25,15 +25,20 @@ MASK = (1 << 64) - 1
 
 
 def token_counts(df: DataFrame, text: str, tokenizer: str = TOKENIZER) -> DataFrame:
-    """Adds ``tokens`` (long), the size of ``text`` under the tokenizer file; null and empty texts have 0. Whole texts are counted."""
+    """Adds ``tokens`` (long), the size of ``text`` under the tokenizer file; null and empty texts have 0. Whole texts are counted.
+
+    The file is read on the driver and sent with the job, so executors need no copy of it.
+    """
     cols = df.columns
+    with open(tokenizer, encoding="utf-8") as f:
+        sent = df.sparkSession.sparkContext.broadcast(f.read())
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema.fields if f.name != text)}{', ' if len(cols) > 1 else ''}tokens long"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(tokenizer)
+        t = Tokenizer.from_str(sent.value)
         t.encode_special_tokens = True
         for b in batches:
             at = b.schema.get_field_index(text)
@@ -99,7 +104,8 @@ def mix(documents: DataFrame, targets: DataFrame, size: int | None = None, seed:
 
     Returns (plan, report): plan (doc_id, source, tokens, copies) for every record of a targeted source;
     report (source, target_share, max_repeats, docs, own_tokens, needed_tokens, reachable, mix_tokens,
-    actual_share) for every targeted source.
+    least_copies, actual_share) for every targeted source. Rounding keeps the number of copies of a source within one of
+    its target, so its tokens miss the target by the spread of its records' sizes.
     """
     sized = token_counts(documents.select(F.col(doc_id).cast("long").alias("doc_id"), source_key(F.col(source)).alias("source"), F.col(text).alias("__text")), "__text", tokenizer)
     sized = materialize(sized, "sizes")
@@ -170,8 +176,8 @@ def mix(documents: DataFrame, targets: DataFrame, size: int | None = None, seed:
         slots = -(-slots // fan_in)
     coin = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)) < F.col("left")
     plan = done.unionByName(left.withColumn("copies", F.col("copies") + coin.cast("long"))).select("doc_id", "source", "tokens", "copies")
-    got = plan.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("mix_tokens"))
+    got = plan.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("mix_tokens"), F.min("copies").alias("least_copies"))
     report = wanted.join(got, "source", "left").fillna(0, ["mix_tokens"])
     whole = report.select(F.sum("mix_tokens").alias("t"))
     report = report.withColumn("actual_share", F.col("mix_tokens") / F.nullif(whole.scalar(), F.lit(0)))
-    return plan, report.select("source", "target_share", "max_repeats", "docs", "own_tokens", "needed_tokens", "reachable", "mix_tokens", "actual_share")
+    return plan, report.select("source", "target_share", "max_repeats", "docs", "own_tokens", "needed_tokens", "reachable", "mix_tokens", "least_copies", "actual_share")

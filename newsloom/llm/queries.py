@@ -37,7 +37,8 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_significance(spark: SparkSession, d: str) -> DataFrame:
     """Every pair of themes and of factors with its counts, lift and log-likelihood ratio."""
-    return cooccur.pair_counts(_themes(spark, d).unionByName(_factors(spark, d)))
+    got = cooccur.pair_counts(_themes(spark, d).unionByName(_factors(spark, d)))
+    return got.withColumns({"lift": F.round("lift", 6), "llr": F.round("llr", 4)})
 
 
 def _terms(spark: SparkSession, d: str) -> DataFrame:
@@ -115,8 +116,10 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Sources that end short of their target though every record of theirs is in the mix as often as it may."""
     _, report = mixing.mix(_read(spark, d, "documents"), _read(spark, d, "mix_targets"))
-    return report.filter(~F.col("reachable")).select("source")
+    used_up = (F.col("docs") == 0) | (F.col("least_copies") >= F.col("max_repeats"))
+    return report.filter(used_up & (F.col("mix_tokens") < F.col("needed_tokens"))).select("source")
 
 
 def p9_plan(spark: SparkSession, d: str) -> DataFrame:
@@ -166,6 +169,27 @@ _COVERAGE = f"""WITH d AS (SELECT DISTINCT doc_id, partition_date, text FROM doc
   n AS (SELECT doc_id, partition_date, count(*) AS parts, count(*) FILTER (fq.day < partition_date) AS seen_parts FROM q JOIN fq ON fq.k = q.k GROUP BY 1, 2)
   SELECT t.doc_id, t.partition_date, CASE WHEN f.i <> t.doc_id THEN f.i END AS first_id, CASE WHEN f.i <> t.doc_id THEN f.d END AS first_batch, coalesce(parts, 0) AS parts, coalesce(seen_parts, 0) AS seen_parts, seen_parts / parts AS coverage
   FROM t JOIN ft ON ft.k = t.k LEFT JOIN n ON n.doc_id = t.doc_id AND n.partition_date = t.partition_date"""
+# word sets of the articles; links by shared words; groups by following links
+_SETS = """SELECT doc_id, list_distinct(regexp_extract_all(lower(replace(concat_ws(' ', coalesce(title, url_decode(regexp_extract(regexp_replace(regexp_replace(document_identifier, '[?#].*$', ''), '/+$', ''), '([^/]*)$', 1))), summary_text), '&amp;', '&')), '[\\p{L}\\p{N}]+')) AS w
+  FROM (SELECT DISTINCT doc_id, title, summary_text, document_identifier FROM bronze_candidates WHERE trim(summary_text) <> '')"""
+_STORIES = f"""WITH RECURSIVE s AS (SELECT doc_id, w, len(w) AS n FROM ({_SETS}) WHERE len(w) > 0), x AS (SELECT doc_id, n, unnest(w) AS t FROM s), c AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS m, any_value(b.n) AS n, count(*) AS k FROM x a JOIN x b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2),
+  l AS (SELECT a, b FROM c WHERE 10 * k >= 6 * (m + n - k)), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l), r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)"""
+_GROUPS = f"""{_STORIES}, g AS (SELECT a AS doc_id, least(a, min(b)) AS class_id FROM r GROUP BY 1), p AS (SELECT list_sort(w) AS w, min(doc_id) AS representative FROM s GROUP BY 1), y AS (SELECT doc_id, representative FROM s JOIN p ON p.w = list_sort(s.w)),
+  d AS (SELECT o.doc_id, count(DISTINCT t.representative) AS links FROM y o JOIN e ON e.a = o.representative JOIN y t ON t.doc_id = e.b AND t.representative <> o.representative GROUP BY 1)
+  SELECT y.doc_id AS id, coalesce(class_id, y.doc_id) AS class_id, representative, coalesce(links, 0) AS links FROM y LEFT JOIN g ON g.doc_id = y.doc_id LEFT JOIN d ON d.doc_id = y.doc_id"""
+_H = "CASE WHEN ({0}) > 0 THEN ({0}) * ln({0}) ELSE 0.0 END"
+# sizes in characters: the margins are wide enough for any measure
+_SHORT = """WITH d AS (SELECT nullif(lower(trim(source)), '') AS source, length(coalesce(text, '')) AS n FROM documents WHERE doc_id IS NOT NULL), t AS (SELECT lower(trim(source)) AS source, sum(target_share) AS share, max(max_repeats) AS most FROM mix_targets WHERE trim(source) <> '' GROUP BY 1), o AS (SELECT source, sum(n) AS own FROM d GROUP BY 1)
+  SELECT t.source FROM t LEFT JOIN o ON o.source = t.source WHERE coalesce(share, 0) * (SELECT sum(n) FROM d) > coalesce(most, 0) * coalesce(own, 0)"""
+
+
+def _significance_sql() -> str:
+    h = lambda x: _H.format(f"CAST({x} AS DOUBLE)" if x.isalpha() else f"CAST({x.split()[0]} AS DOUBLE){x[len(x.split()[0]):]}")
+    terms = " + ".join(h(x) for x in ("ab", "a - ab", "b - ab", "t - a - b + ab")) + " - " + " - ".join(h(x) for x in ("a", "t - a", "b", "t - b")) + " + " + h("t")
+    pairs = f"SELECT *, n_ab AS ab, n_a AS a, n_b AS b, n_records AS t FROM ({_pairs_sql(_THEMES + ' UNION ALL ' + _FACTORS)})"
+    return f"SELECT field, item_a, item_b, n_ab, n_a, n_b, n_records, round(n_ab * n_records / (CAST(n_a AS DOUBLE) * n_b), 6) AS lift, round(greatest(0.0, 2.0 * ({terms})), 4) AS llr FROM ({pairs})"
+
+
 _GRAMS = "SELECT DISTINCT {id}, unnest(list_transform(range(1, greatest(1, len(w) - 10)), lambda i : array_to_string(w[i:i + 11], ' '))) AS g FROM (SELECT {id}, regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+') AS w FROM {table})"
 
 
@@ -173,13 +197,17 @@ def oracle_sql() -> dict[str, str]:
     grams = f"SELECT DISTINCT d.doc_id, i.item_id FROM ({_GRAMS.format(id='doc_id', text='text', table='documents')}) d JOIN ({_GRAMS.format(id='item_id', text='item_text', table='eval_items')}) i ON i.g = d.g"
     return {
         "p1_found": f"SELECT field, item_a, item_b FROM ({_pairs_sql(_THEMES + ' UNION ALL ' + _FACTORS)}) WHERE n_ab >= 5 AND n_ab >= 0.002 * n_records AND n_ab * n_records >= 3 * n_a * n_b",
+        "p1_significance": _significance_sql(),
         "p2_found": f"SELECT field, term, mark FROM ({_TERMS}) WHERE mark IS NOT NULL",
         "p2_terms": _TERMS,
+        "p3_found": f"{_STORIES} SELECT DISTINCT a AS doc_id_a, b AS doc_id_b FROM r WHERE a < b",
+        "p3_groups": _GROUPS,
         "p6_found": _RETURNS,
         "p6_coverage": _COVERAGE,
         "p7_found": f"SELECT doc_id FROM ({_RANKED}) WHERE rank > cap",
         "p7_ranked": f"SELECT *, coalesce(rank <= cap, true) AS kept FROM ({_RANKED})",
         "p8_found": grams,
+        "p9_found": _SHORT,
     }
 
 
