@@ -5,8 +5,8 @@ nicknames), which gives one or more keys. Registry names give keys the same way.
 metric space under the Levenshtein distance: a few pivots cut it into cells, a written key belongs to
 the cell of its nearest pivot, a registry key is replicated to every cell where the triangle inequality
 cannot rule a partner out, and inside a cell an exact radius join runs, with the distances to all pivots
-as a filter before the true distance is computed. A pair links if one edit (an inserted, dropped,
-replaced or swapped letter) separates the keys. Initials and acronyms are too short for an edit and must
+as a filter before the true distance is computed. A pair links if at most ``edits`` edits (an inserted, dropped,
+replaced or swapped letter each, one by default) separate the keys. Initials and acronyms are too short for an edit and must
 be equal, and they link only where a single entity has them.
 """
 
@@ -24,23 +24,38 @@ from pyspark.sql import functions as F
 
 from newsloom.cut import materialize
 
-# Letters without a decomposition, titles, nicknames, legal forms and their short forms.
+# Letters without a decomposition, titles, common English nicknames, legal forms of companies and their short forms.
 LETTERS = str.maketrans({"ø": "o", "ß": "ss", "æ": "ae", "œ": "oe", "đ": "d", "ł": "l", "ı": "i", "ð": "d", "þ": "th"})
-TITLES = frozenset("mr mrs ms miss dr prof professor chairman chairwoman chair governor gov minister senator sen president sir dame judge justice captain capt general gen mayor lord lady rep representative secretary chancellor king queen col colonel hon ambassador commissioner sgt lt director".split())
+TITLES = frozenset(
+    """mr mrs ms miss mx dr prof professor rev reverend fr father sister brother rabbi imam bishop archbishop cardinal pope chairman chairwoman chairperson chair governor gov minister senator sen president sir dame judge justice
+    captain capt general gen major maj mayor lord lady rep representative secretary chancellor king queen prince princess duke duchess count countess baron baroness col colonel hon ambassador commissioner sgt sergeant cpl lt
+    lieutenant admiral adm commander director deputy attorney premier speaker sheikh sheriff inspector officer""".split()
+)
 NICKNAMES = {
-    "alexander": "alex sasha al sandy lex xander", "andrew": "andy drew", "anthony": "tony ant", "benjamin": "ben benny benji", "charles": "charlie chuck chas",
-    "christopher": "chris kit topher", "daniel": "dan danny", "deborah": "deb debbie debby", "dmitri": "dima mitya", "edward": "ed ted eddie ned teddy",
-    "elizabeth": "liz beth lizzie betty eliza betsy bess", "frederick": "fred freddie freddy", "gregory": "greg gregg", "james": "jim jimmy jamie", "jennifer": "jen jenny jenn",
-    "joseph": "joe joey jo", "katherine": "kate kathy katie kat kitty", "margaret": "maggie peggy meg marge madge", "michael": "mike mick mikey micky", "nicholas": "nick nicky nico",
-    "oksana": "ksenia", "patricia": "pat trish patty tricia", "philip": "phil pip", "piotr": "petya", "quentin": "quent", "ravindra": "ravi", "richard": "rick dick rich ricky richie",
-    "robert": "bob rob bobby robbie bert", "samuel": "sam sammy", "stephen": "steve stevie", "susan": "sue susie suzy", "thomas": "tom tommy", "victoria": "vicky vicki tori",
-    "william": "will bill billy willy liam", "zofia": "zosia",
+    "abigail": "abby gail", "abraham": "abe bram", "adelaide": "addie", "agnes": "aggie", "albert": "al bert bertie", "alexander": "alex sasha al sandy lex xander alec", "alexandra": "alex sandra lexi sasha", "alfred": "alf alfie fred",
+    "amanda": "mandy", "anastasia": "nastya stacy", "andrew": "andy drew", "angela": "angie", "anthony": "tony ant", "antonio": "tonio toni", "archibald": "archie", "arnold": "arnie", "arthur": "art artie", "augustus": "gus",
+    "barbara": "barb babs barbie", "bartholomew": "bart", "beatrice": "bea trixie", "benjamin": "ben benny benji", "bernard": "bernie", "bradley": "brad", "calvin": "cal", "cameron": "cam", "caroline": "carrie caro", "catherine": "cathy kate cat katie",
+    "charles": "charlie chuck chas", "charlotte": "lottie charlie", "christina": "chrissy tina chris", "christine": "chris chrissy", "christopher": "chris kit topher", "clifford": "cliff", "cynthia": "cindy", "daniel": "dan danny", "david": "dave davey",
+    "deborah": "deb debbie debby", "dennis": "denny", "dmitri": "dima mitya", "dominic": "dom nick", "donald": "don donnie", "dorothy": "dot dottie dolly", "douglas": "doug", "edgar": "ed eddie", "edmund": "ed ned", "edward": "ed ted eddie ned teddy",
+    "edwin": "ed eddie", "eleanor": "ellie nell nora", "elizabeth": "liz beth lizzie betty eliza betsy bess", "emily": "em emmy", "eugene": "gene", "ferdinand": "ferdie", "florence": "flo florrie", "frances": "fran fanny", "francis": "frank",
+    "francisco": "paco pancho", "franklin": "frank", "frederick": "fred freddie freddy", "gabriel": "gabe", "geoffrey": "geoff jeff", "george": "georgie", "gerald": "gerry jerry", "gilbert": "gil", "gregory": "greg gregg", "gwendolyn": "gwen",
+    "harold": "harry hal", "harriet": "hattie", "helen": "nell", "henry": "harry hank hal", "herbert": "herb bert", "howard": "howie", "hubert": "hugh bert", "ignatius": "iggy", "isaac": "ike", "isabella": "bella izzy", "isabel": "izzy bel",
+    "jacob": "jake", "jacqueline": "jackie", "james": "jim jimmy jamie", "janet": "jan", "jeffrey": "jeff", "jennifer": "jen jenny jenn", "jeremiah": "jerry", "jeremy": "jem", "jerome": "jerry", "jessica": "jess jessie", "joan": "joanie",
+    "john": "jack johnny jon", "jonathan": "jon jonny", "joseph": "joe joey jo", "josephine": "jo josie", "joshua": "josh", "judith": "judy", "julia": "jules", "katherine": "kate kathy katie kat kitty", "kathleen": "kathy kath", "kenneth": "ken kenny",
+    "kimberly": "kim", "lawrence": "larry lawrie", "leonard": "len lenny leo", "leopold": "leo", "lewis": "lew", "lillian": "lily lil", "louis": "lou louie", "louise": "lou", "madeline": "maddie", "margaret": "maggie peggy meg marge madge",
+    "maria": "mary masha", "martha": "marty patty", "martin": "marty", "matthew": "matt matty", "maurice": "mo", "maximilian": "max", "melissa": "mel missy", "michael": "mike mick mikey micky", "mikhail": "misha", "mildred": "millie", "mitchell": "mitch",
+    "nathaniel": "nat nate", "nicholas": "nick nicky nico", "nicole": "nicky", "nikolai": "kolya", "oksana": "ksenia", "oliver": "ollie", "pamela": "pam", "patricia": "pat trish patty tricia", "patrick": "pat paddy", "pavel": "pasha", "penelope": "penny",
+    "percival": "percy", "peter": "pete", "philip": "phil pip", "piotr": "petya", "quentin": "quent", "rachel": "rach", "ravindra": "ravi", "raymond": "ray", "rebecca": "becky becca", "reginald": "reg reggie", "richard": "rick dick rich ricky richie",
+    "robert": "bob rob bobby robbie bert", "roderick": "rod", "rodney": "rod", "roger": "rodge", "ronald": "ron ronnie", "rosemary": "rosie", "rudolph": "rudy", "rupert": "rupe", "russell": "russ", "samantha": "sam", "samuel": "sam sammy",
+    "sarah": "sally sadie", "sebastian": "seb bastian", "sergei": "seryozha", "sidney": "sid", "solomon": "sol", "stanley": "stan", "stephanie": "steph", "stephen": "steve stevie", "steven": "steve", "stuart": "stu", "susan": "sue susie suzy",
+    "sylvester": "sly", "terence": "terry", "teresa": "terry tess", "theodore": "ted teddy theo", "thomas": "tom tommy", "timothy": "tim timmy", "tobias": "toby", "valentina": "valya", "veronica": "ronnie", "victor": "vic", "victoria": "vicky vicki tori",
+    "vincent": "vince", "virginia": "ginny", "vladimir": "vova", "walter": "walt wally", "wilhelmina": "mina", "william": "will bill billy willy liam", "winifred": "winnie", "winston": "win", "yevgeny": "zhenya", "zachary": "zach zack", "zofia": "zosia",
 }
 FULL_NAMES: dict[str, list[str]] = {}
 for _full, _short in NICKNAMES.items():
     for _s in _short.split():
         FULL_NAMES.setdefault(_s, []).append(_full)
-LEGAL = frozenset("ltd inc plc corporation company group holdings manufacturing".split())
+LEGAL = frozenset("ltd inc plc corporation company group holdings manufacturing llc llp lp gmbh ag kg se sa sas sarl spa srl nv bv ab asa oy oyj kk pty pte sro doo bhd".split())
 SHORT_FORMS = {
     "corp": "corporation", "incorporated": "inc", "limited": "ltd", "co": "company", "mfg": "manufacturing", "hldgs": "holdings", "hldg": "holdings", "grp": "group", "plc": "plc",
     "int": "international", "intl": "international", "and": "&", "+": "&", "und": "&",
@@ -177,6 +192,27 @@ def one_edit(a: str, b: str) -> int | None:
     return 1 if long[k + 1 :] == short[k:] else None
 
 
+def edits_apart(a: str, b: str, most: int) -> int | None:
+    """Fewest inserted, dropped, replaced or swapped letters between two names, None if more than ``most``; a letter is edited once."""
+    if most == 1 or a == b:
+        return one_edit(a, b)
+    if abs(len(a) - len(b)) > most:
+        return None
+    before, row = [], list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i] + [most + 1] * len(b)
+        for j in range(max(1, i - most), min(len(b), i + most) + 1):
+            y = b[j - 1]
+            d = min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                d = min(d, before[j - 2] + 1)
+            new[j] = d
+        if min(new) > most:
+            return None
+        before, row = row, new
+    return row[-1] if row[-1] <= most else None
+
+
 def choose_pivots(names: list[str], count: int) -> list[str]:
     """Farthest-first pivots of a bounded sample."""
     if not names:
@@ -190,21 +226,23 @@ def choose_pivots(names: list[str], count: int) -> list[str]:
     return picked
 
 
-RADIUS = 2  # one edit of any kind, a swap included, is at most two Levenshtein steps
-
-
-def radius_join(left: DataFrame, right: DataFrame, pivots: int = 20, sample: int = 2000, group: int = 20_000) -> DataFrame:
-    """Exact join of (id, space, key) with (ref, space, key): pairs (id, ref, key, ref_key, d) at most one edit apart.
+def radius_join(left: DataFrame, right: DataFrame, pivots: int | None = None, sample: int = 2000, group: int = 20_000, edits: int = 1) -> DataFrame:
+    """Exact join of (id, space, key) with (ref, space, key): pairs (id, ref, key, ref_key, d) at most ``edits`` edits apart.
 
-    pivots: per space. sample: registry keys from which pivots are chosen; the result does not depend on
-    them. group: written keys of a cell that one task takes; a fuller cell is cut into more tasks.
+    pivots: per space, by default a third of the root of the number of registry keys, between 20 and 400, so that more
+    cells share a larger registry. sample: registry keys from which pivots are chosen; the result depends on neither. group: keys of
+    either side of a cell that one task takes; a fuller cell is dealt into blocks on both sides, and every two blocks meet.
     """
+    reach_of = 2 * edits  # an edit of any kind, a swap included, is at most two Levenshtein steps
+    if pivots is None:
+        pivots = int(min(400, max(20, right.count() ** 0.5 / 3)))
     spaces = [r[0] for r in right.select("space").distinct().collect()]  # the kinds of names: two
     chosen: dict[str, list[str]] = {}
     for s in spaces:
         names = [r[0] for r in right.filter(F.col("space") == s).select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(sample).collect()]
         chosen[s] = choose_pivots(sorted(names), pivots)
     longest = right.agg(F.max(F.length("key"))).first()[0] or 0
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def measured(reach: int, ident: str):  # noqa: ANN202
         schema = pa.schema([(ident, pa.int64()), ("space", pa.string()), ("key", pa.string()), ("cell", pa.int32()), ("far", pa.list_(pa.int16()))])
@@ -229,15 +267,17 @@ def radius_join(left: DataFrame, right: DataFrame, pivots: int = 20, sample: int
         return run, f"{ident} long, space string, key string, cell int, far array<short>"
 
     near, spec = measured(0, "id")
-    a = materialize(left.filter(F.length("key") <= longest + RADIUS).select("id", "space", "key").mapInArrow(near, spec), "cells")
-    near, spec = measured(RADIUS, "ref")
-    b = right.select("ref", "space", "key").mapInArrow(near, spec)
+    a = materialize(left.filter(F.length("key") <= longest + reach_of).repartition(parts).select("id", "space", "key").mapInArrow(near, spec), "cells")
+    near, spec = measured(reach_of, "ref")
+    b = materialize(right.select("ref", "space", "key").mapInArrow(near, spec), "cells")
     # one row per cell: as many as pivots
-    cuts = a.groupBy("space", "cell").count().select("space", "cell", F.ceil(F.col("count") / group).cast("int").alias("cuts"))
-    a = a.join(F.broadcast(cuts), ["space", "cell"]).withColumn("cut", F.pmod(F.xxhash64("key"), F.col("cuts")).cast("int"))
-    b = b.join(F.broadcast(cuts.withColumnRenamed("cuts", "parts")), ["space", "cell"]).withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    a, b = a.select("space", "cell", "cut", "id", "key", "far"), b.select("space", "cell", "cut", "ref", "key", "far")
-    cols = ["space", "cell", "cut"]
+    size = lambda df, name: df.groupBy("space", "cell").agg(F.ceil(F.count(F.lit(1)) / group).cast("int").alias(name))
+    cuts = F.broadcast(size(a, "cuts").join(size(b, "parts"), ["space", "cell"]))
+    deal = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = a.join(cuts, ["space", "cell"]).withColumn("cut", deal("cuts")).withColumn("part", every("parts")).select("space", "cell", "cut", "part", "id", "key", "far")
+    b = b.join(cuts, ["space", "cell"]).withColumn("part", deal("parts")).withColumn("cut", every("cuts")).select("space", "cell", "cut", "part", "ref", "key", "far")
+    cols = ["space", "cell", "cut", "part"]
 
     def match(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -247,15 +287,15 @@ def radius_join(left: DataFrame, right: DataFrame, pivots: int = 20, sample: int
             for lo in range(0, len(x), 500):
                 part = x.iloc[lo : lo + 500]
                 dx = np.stack(part["far"].to_numpy())
-                i, j = np.nonzero(np.abs(dx[:, None, 0] - dy[None, :, 0]) <= RADIUS)
+                i, j = np.nonzero(np.abs(dx[:, None, 0] - dy[None, :, 0]) <= reach_of)
                 for k in range(1, dx.shape[1]):
                     if not len(i):
                         break
-                    ok = np.abs(dx[i, k] - dy[j, k]) <= RADIUS
+                    ok = np.abs(dx[i, k] - dy[j, k]) <= reach_of
                     i, j = i[ok], j[ok]
                 keys, ids = part["key"].tolist(), part["id"].tolist()
                 for p, q in zip(i.tolist(), j.tolist()):
-                    d = one_edit(keys[p], yk[q])
+                    d = edits_apart(keys[p], yk[q], edits)
                     if d is not None:
                         out.append((ids[p], yr[q], keys[p], yk[q], d))
         return pd.DataFrame(out, columns=["id", "ref", "key", "ref_key", "d"])
@@ -289,14 +329,15 @@ def _keys(df: DataFrame, ident: str, of) -> DataFrame:  # noqa: ANN001
     return df.select(ident, "kind", "name").mapInArrow(run, f"{ident} long, kind string, type string, key string, raw_given string")
 
 
-def link_names(names: DataFrame, registry: DataFrame, pivots: int = 20, sample: int = 2000, group: int = 20_000) -> DataFrame:
+def link_names(names: DataFrame, registry: DataFrame, pivots: int | None = None, sample: int = 2000, group: int = 20_000, edits: int = 1) -> DataFrame:
     """Link written names to registry entities.
 
     names: (kind, name), kind ``person`` or ``organization``; repeats count once, null and blank names are
     left out. registry: (entity_id, kind, name); rows with nulls are left out, repeated ones count once.
     A name equal to a registry name but for letter case and spaces is no variant. The closest entity
     wins; names as close to several entities are not linked, and a given name that is itself a known
-    given name is not taken for a misspelling of another. Returns (kind, name, entity_id, d).
+    given name is not taken for a misspelling of another. edits: letters that may be wrong; with two, names of different
+    people come within reach of one another. Returns (kind, name, entity_id, d).
     """
     refs = registry.filter("entity_id is not null and kind is not null and name is not null").select(F.col("entity_id").cast("long").alias("ref"), "kind", "name").dropDuplicates(["ref"])
     known = materialize(_keys(refs, "ref", registry_keys), "registry_keys")
@@ -308,7 +349,7 @@ def link_names(names: DataFrame, registry: DataFrame, pivots: int = 20, sample:
     short = keys.filter("type <> 'n'").join(alone.drop("n"), ["kind", "type", "key"]).select("id", "ref", F.lit(0).alias("d"))
     left = keys.filter("type = 'n'").select("id", F.col("kind").alias("space"), "key").distinct()
     right = known.filter("type = 'n'").select("ref", F.col("kind").alias("space"), "key")
-    near = radius_join(left, right, pivots, sample, group)
+    near = radius_join(left, right, pivots, sample, group, edits)
     # a known given name is no misspelling of another one
     given = refs.filter(F.col("kind") == PERSON).select(F.lower(F.regexp_extract("name", r"^\s*(\S+)", 1)).alias("raw_given")).distinct().withColumn("is_given", F.lit(True))
     meant = keys.filter("type = 'n'").select("id", "key", "kind", "raw_given").distinct().join(given, "raw_given", "left")
