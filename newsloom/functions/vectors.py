@@ -32,3 +32,9 @@ def sign_bits(v: Column, start: int, count: int) -> Column:
     """One bit a dimension, set where it is positive, of up to 63 dimensions from ``start``."""
     part = F.slice(v, start + 1, count)
     return F.aggregate(F.transform(part, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def hashed_counts(words: Column, size: int) -> Column:
+    """Words counted in ``size`` buckets of their MD5: an embedding that needs no model and is the same everywhere."""
+    bucket = F.transform(words, lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % size)
+    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda b: F.size(F.filter(bucket, lambda x: x == b)).cast("double"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.catalog import QUERIES, SQL, Query, evidence, labelling, more, query, read, relations, retrieval, scans, store  # noqa: F401
+from newsloom.catalog import QUERIES, SQL, Query, build, evidence, labelling, more, query, read, relations, retrieval, scans, store  # noqa: F401
 from newsloom.operators.packed import LOCATIONS, ORGANIZATIONS, PERSONS, THEMES, explode_values
 
 
