@@ -43,8 +43,8 @@ def p1_significance(spark: SparkSession, d: str) -> DataFrame:
 
 def _terms(spark: SparkSession, d: str) -> DataFrame:
     got = unpack_values(_read(spark, d, "bronze_candidates"), [THEMES, ALL_NAMES])
-    rows = got.select("field", F.transform("values", lambda v: F.upper(F.regexp_replace(v, r"\s+", " "))).alias("terms"))
-    return terms.term_frequencies(rows)
+    rows = got.select("doc_id", "field", F.transform("values", lambda v: F.upper(F.regexp_replace(v, r"\s+", " "))).alias("terms"))
+    return terms.term_frequencies(rows, ident="doc_id")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:

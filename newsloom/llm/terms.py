@@ -1,11 +1,11 @@
 """Frequency of every distinct term: vertical layout with compressed record bitmaps.
 
-Every task numbers its records and builds, per term, the set of record numbers as a compressed bitmap
-beside an occurrence counter. As in roaring bitmaps a set is cut into containers of 65,536 records, each
-stored as a sorted list of 16-bit numbers while it is sparse and as a plain bitmap once it is dense.
-Containers of one term merge by union; the document frequency is the cardinality. The record number
-carries the task's number in its upper bits, so containers of different tasks never overlap, no global
-numbering pass is needed and a repeated task only repeats its own containers.
+Records are numbered densely in the order of their ids, by one range sort with prefix sums, so a record has
+the same number in every task and every run over the same records. A task builds, per term, the set of its
+record numbers as a compressed bitmap beside an occurrence counter. As in roaring bitmaps a set is cut into
+containers of 65,536 records, each stored as a sorted list of 16-bit numbers while it is sparse and as a plain
+bitmap once it is dense. Containers of one term merge by union wherever their parts were built; the document
+frequency is the cardinality, and the bitmaps of two terms of a field can be intersected.
 """
 
 from __future__ import annotations
@@ -18,6 +18,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.cut import materialize
+from newsloom.operators.ranks import ranked
+
 SPARSE = 4096
 CONTAINER = 1 << 16
 
@@ -45,6 +48,11 @@ def union(payloads: list[bytes]) -> bytes:
     return pack(np.unique(np.concatenate([unpack(p) for p in payloads])))
 
 
+def intersection(a: bytes, b: bytes) -> bytes:
+    """Records of two containers of the same range that are in both."""
+    return pack(np.intersect1d(unpack(a), unpack(b), assume_unique=True))
+
+
 def cardinality(payload: bytes) -> int:
     """Records in a container."""
     if payload[:1] == b"a":
@@ -53,10 +61,10 @@ def cardinality(payload: bytes) -> int:
 
 
 def term_bitmaps(records: DataFrame, hold: int = 400_000) -> DataFrame:
-    """(field, terms array) -> (field, term, container, bitmap, occurrences), partial per task.
+    """(field, terms array[, number]) -> (field, term, container, bitmap, occurrences), partial per task.
 
-    A null term stands for "the record has a value of the field". hold: entries kept in memory before
-    they are handed on.
+    A null term stands for "the record has a value of the field". number: the record's place among all; without the column a record is
+    numbered inside its task. hold: entries kept in memory before they are handed on.
     """
     schema = pa.schema([("field", pa.string()), ("term", pa.string()), ("container", pa.int64()), ("bitmap", pa.binary()), ("occurrences", pa.int64())])
 
@@ -67,12 +75,18 @@ def term_bitmaps(records: DataFrame, hold: int = 400_000) -> DataFrame:
         acc.clear()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 32
+        following = TaskContext.get().partitionId() << 32
         acc: dict[tuple[str, str | None], list] = {}
-        number = size = 0
+        size, container = 0, None
         for b in batches:
-            for f, terms in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                low = number & (CONTAINER - 1)
+            numbers = b.column(2).to_pylist()
+            for f, terms, number in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), numbers):
+                if number is None:
+                    number, following = following, following + 1
+                if acc and (size > hold or number >> 16 != container):
+                    yield from flush(acc, container)
+                    size = 0
+                container, low = number >> 16, number & (CONTAINER - 1)
                 for t in [None, *terms]:
                     v = acc.get((f, t))
                     if v is None:
@@ -82,14 +96,12 @@ def term_bitmaps(records: DataFrame, hold: int = 400_000) -> DataFrame:
                         if v[1][-1] != low:
                             v[1].append(low)
                 size += len(terms) + 1
-                number += 1
-                if size > hold or low == CONTAINER - 1:
-                    yield from flush(acc, (base + number - 1) >> 16)
-                    size = 0
         if acc:
-            yield from flush(acc, (base + number - 1) >> 16)
+            yield from flush(acc, container)
 
-    return records.select("field", F.filter("terms", lambda x: x.isNotNull()).alias("terms")).filter(F.size("terms") > 0).mapInArrow(run, "field string, term string, container long, bitmap binary, occurrences long")
+    number = F.col("number") if "number" in records.columns else F.lit(None).cast("long").alias("number")
+    clean = records.select("field", F.filter("terms", lambda x: x.isNotNull()).alias("terms"), number).filter(F.size("terms") > 0)
+    return clean.mapInArrow(run, "field string, term string, container long, bitmap binary, occurrences long")
 
 
 def merge_bitmaps(parts: DataFrame) -> DataFrame:
@@ -107,17 +119,18 @@ def merge_bitmaps(parts: DataFrame) -> DataFrame:
     return counted.groupBy("field", "term").agg(F.sum("occurrences").alias("occurrences"), F.sum("docs").alias("docs"))
 
 
-def term_frequencies(records: DataFrame, rare_docs: int = 2, common_share: float = 0.1, hold: int = 400_000) -> DataFrame:
+def term_frequencies(records: DataFrame, rare_docs: int = 2, common_share: float = 0.1, hold: int = 400_000, ident: str | None = None) -> DataFrame:
     """Occurrences and document frequency of every term, with a mark for the useless ones.
 
     records: (field string, terms array<string>), one row per record and field; other columns are not read.
     rare_docs: a term of at most so many records is ``rare``. common_share: a term of at least this share
     of the records that have a value in the field is ``common``; ``rare`` wins. Other terms have a null
-    mark. Returns (field, term, occurrences, docs, records, mark); null terms and records without terms
+    mark. ident: column of ``records`` that names the record, unique with the field; records are then numbered in its order.
+    Returns (field, term, occurrences, docs, records, mark); null terms and records without terms
     count nowhere; an empty table gives an empty result.
     """
-    from newsloom.cut import materialize
-
+    if ident:
+        records = ranked(records.select(ident, "field", "terms"), [], [F.col(ident).asc(), F.col("field").asc()]).withColumn("number", F.col("rank") - 1)
     merged = materialize(merge_bitmaps(term_bitmaps(records, hold)), "terms")
     # one row per field
     total = F.broadcast(merged.filter(F.col("term").isNull()).select("field", F.col("docs").alias("records")))

@@ -6,7 +6,7 @@ import time
 import numpy as np
 from pyspark.sql import functions as F
 
-from newsloom.llm import cap, leaks
+from newsloom.llm import cap, leaks, terms
 
 
 def plan(df):
@@ -77,3 +77,23 @@ def test_ranks_where_runs_cross_tasks(spark):
             seen[k] = seen.get(k, 0) + 1
             want[k, i] = seen[k]
         assert got == want
+
+
+def test_bitmaps_do_not_depend_on_tasks(spark):
+    """A term's bitmaps, united over the tasks that built them, name the same records however the table is cut; two terms can be intersected."""
+    rng = random.Random(5)
+    rows = [(k, "f", rng.sample("abcdef", rng.randrange(1, 5))) for k in range(3000)]
+    df = spark.createDataFrame(rows, "id long, field string, terms array<string>").withColumn("number", F.col("id") * 40)
+
+    def bitmaps(some):
+        out = {}
+        for r in terms.term_bitmaps(some, hold=500).collect():
+            out.setdefault((r.term, r.container), []).append(bytes(r.bitmap))
+        return {k: terms.union(v) for k, v in out.items()}
+
+    one, other = bitmaps(df.coalesce(1)), bitmaps(df.repartition(5))
+    assert one == other and len({c for _, c in one}) == 2
+    both = sum(terms.cardinality(terms.intersection(one["a", c], one["b", c])) for c in (0, 1))
+    assert both == sum("a" in t and "b" in t for _, _, t in rows)
+    got = {r.term: r.docs for r in terms.term_frequencies(df.repartition(5), ident="id").collect()}
+    assert got == {t: sum(t in x for _, _, x in rows) for t in "abcdef"}
