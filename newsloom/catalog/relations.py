@@ -9,6 +9,7 @@ from newsloom.catalog import query, read
 from newsloom.functions import text
 from newsloom.operators import ranks, tables
 from newsloom.plans import graph
+from newsloom.sources import readers
 
 S = SparkSession
 SILVER, NODES, BRONZE = "silver_factor_mentions", "graph_doc_nodes_daily", "bronze_candidates"
@@ -40,6 +41,15 @@ def pair_panel(spark: S, d: str) -> DataFrame:
     return p.withColumn("narrative_score", graph.pair_score())
 
 
+def stored_panel(spark: S, d: str) -> DataFrame:
+    """The factor panel as reports read it: built once a session, then a stored table."""
+    return readers.kept(panel(spark, d), d, "panel")
+
+
+def stored_pair_panel(spark: S, d: str) -> DataFrame:
+    return readers.kept(pair_panel(spark, d), d, "pair panel")
+
+
 def rounded(df: DataFrame, *names: str, digits: int = 8) -> DataFrame:
     return df.withColumns({n: F.round(n, digits) for n in names})
 
@@ -287,13 +297,13 @@ def ag08(spark: S, d: str) -> DataFrame:
 
 @query("ag09_top_factors", f"SELECT factor_label, CAST(sum(doc_count) AS BIGINT) AS docs, round(sum(narrative_score), 6) AS score FROM ({SCORED}) GROUP BY 1 ORDER BY score DESC, factor_label LIMIT 25")
 def ag09(spark: S, d: str) -> DataFrame:
-    g = panel(spark, d).groupBy("factor_label").agg(F.sum("doc_count").alias("docs"), F.round(F.sum("narrative_score"), 6).alias("score"))
+    g = stored_panel(spark, d).groupBy("factor_label").agg(F.sum("doc_count").alias("docs"), F.round(F.sum("narrative_score"), 6).alias("score"))
     return g.orderBy(F.desc("score"), "factor_label").limit(25)
 
 
 @query("ag10_top_assets", f"SELECT asset_label, CAST(sum(doc_count) AS BIGINT) AS docs, round(sum(narrative_score), 6) AS score FROM ({PAIR_SCORED}) GROUP BY 1 ORDER BY score DESC, asset_label LIMIT 25")
 def ag10(spark: S, d: str) -> DataFrame:
-    g = pair_panel(spark, d).groupBy("asset_label").agg(F.sum("doc_count").alias("docs"), F.round(F.sum("narrative_score"), 6).alias("score"))
+    g = stored_pair_panel(spark, d).groupBy("asset_label").agg(F.sum("doc_count").alias("docs"), F.round(F.sum("narrative_score"), 6).alias("score"))
     return g.orderBy(F.desc("score"), "asset_label").limit(25)
 
 
@@ -472,18 +482,18 @@ def ag38(spark: S, d: str) -> DataFrame:
 @query("wn01_rolling_factor", f"""SELECT bucket_time, factor_label, geo_label, round(avg(tone_mean) OVER w, 8) AS mean30, round(stddev_samp(tone_mean) OVER w, 8) AS std30 FROM ({ROLLUP}) WINDOW w AS (PARTITION BY factor_label ORDER BY bucket_time, geo_label ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""")
 def wn01(spark: S, d: str) -> DataFrame:
     w = Window.partitionBy("factor_label").orderBy("bucket_time", "geo_label").rowsBetween(-29, 0)
-    return panel(spark, d).select("bucket_time", "factor_label", "geo_label", F.round(F.avg("tone_mean").over(w), 8).alias("mean30"), F.round(F.stddev_samp("tone_mean").over(w), 8).alias("std30"))
+    return stored_panel(spark, d).select("bucket_time", "factor_label", "geo_label", F.round(F.avg("tone_mean").over(w), 8).alias("mean30"), F.round(F.stddev_samp("tone_mean").over(w), 8).alias("std30"))
 
 
 @query("wn02_rolling_pair", f"""SELECT bucket_time, factor_label, asset_label, geo_label, round(avg(tone_mean) OVER w, 8) AS mean30 FROM ({PAIR}) WINDOW w AS (PARTITION BY asset_label, factor_label ORDER BY bucket_time, geo_label ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""")
 def wn02(spark: S, d: str) -> DataFrame:
     w = Window.partitionBy("asset_label", "factor_label").orderBy("bucket_time", "geo_label").rowsBetween(-29, 0)
-    return pair_panel(spark, d).select("bucket_time", "factor_label", "asset_label", "geo_label", F.round(F.avg("tone_mean").over(w), 8).alias("mean30"))
+    return stored_pair_panel(spark, d).select("bucket_time", "factor_label", "asset_label", "geo_label", F.round(F.avg("tone_mean").over(w), 8).alias("mean30"))
 
 
 @query("wn03_zscore", f"""SELECT bucket_time, factor_label, geo_label, round(CASE WHEN sd IS NULL OR sd = 0 THEN NULL ELSE (tone_mean - mu) / sd END, 6) AS zscore FROM (SELECT *, avg(tone_mean) OVER w AS mu, stddev_samp(tone_mean) OVER w AS sd FROM ({ROLLUP}) WINDOW w AS (PARTITION BY factor_label ORDER BY bucket_time, geo_label ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))""")
 def wn03(spark: S, d: str) -> DataFrame:
-    z = graph.zscore(panel(spark, d), ["factor_label"], ["bucket_time", "geo_label"])
+    z = graph.zscore(stored_panel(spark, d), ["factor_label"], ["bucket_time", "geo_label"])
     return z.select("bucket_time", "factor_label", "geo_label", F.round("zscore", 6).alias("zscore"))
 
 
@@ -554,20 +564,20 @@ def wn15(spark: S, d: str) -> DataFrame:
 
 @query("st01_factor_daily", f"SELECT bucket_time, factor_label, geo_label, round(narrative_score, 8) AS narrative_score FROM ({SCORED}) ORDER BY bucket_time DESC, narrative_score DESC, factor_label, geo_label LIMIT 100")
 def st01(spark: S, d: str) -> DataFrame:
-    p = rounded(panel(spark, d).select("bucket_time", "factor_label", "geo_label", "narrative_score"), "narrative_score")
+    p = rounded(stored_panel(spark, d).select("bucket_time", "factor_label", "geo_label", "narrative_score"), "narrative_score")
     return p.orderBy(F.desc("bucket_time"), F.desc("narrative_score"), "factor_label", "geo_label").limit(100)
 
 
 @query("st02_tone_tails", "SELECT factor_label, CAST(sum(neg) AS BIGINT) AS low, CAST(sum(pos) AS BIGINT) AS high FROM (SELECT factor_label, bucket_time, geo_label, count(DISTINCT CASE WHEN tone <= -5 THEN doc_id END) AS neg, count(DISTINCT CASE WHEN tone >= 5 THEN doc_id END) AS pos FROM silver_factor_mentions GROUP BY 1, 2, 3) GROUP BY 1 ORDER BY low DESC, high DESC, factor_label LIMIT 20")
 def st02(spark: S, d: str) -> DataFrame:
-    g = panel(spark, d).groupBy("factor_label").agg(F.sum("negative_tail_count").alias("low"), F.sum("positive_tail_count").alias("high"))
+    g = stored_panel(spark, d).groupBy("factor_label").agg(F.sum("negative_tail_count").alias("low"), F.sum("positive_tail_count").alias("high"))
     return g.orderBy(F.desc("low"), F.desc("high"), "factor_label").limit(20)
 
 
 @query("st03_crossovers", f"""WITH g AS ({SCORED}) SELECT c.bucket_time, c.factor_label, c.geo_label, round(c.narrative_score - p.narrative_score, 8) AS score_delta, c.doc_count - p.doc_count AS doc_count_delta FROM g c JOIN g p ON p.factor_label = c.factor_label AND p.geo_label = c.geo_label AND p.bucket_time = c.bucket_time - 1
   ORDER BY c.bucket_time DESC, abs(round(c.narrative_score - p.narrative_score, 8)) DESC, abs(c.doc_count - p.doc_count) DESC, c.factor_label, c.geo_label LIMIT 100""")
 def st03(spark: S, d: str) -> DataFrame:
-    x = rounded(graph.links(panel(spark, d), ["factor_label", "geo_label"]), "score_delta").select("bucket_time", "factor_label", "geo_label", "score_delta", "doc_count_delta")
+    x = rounded(graph.links(stored_panel(spark, d), ["factor_label", "geo_label"]), "score_delta").select("bucket_time", "factor_label", "geo_label", "score_delta", "doc_count_delta")
     return x.orderBy(F.desc("bucket_time"), F.desc(F.abs("score_delta")), F.desc(F.abs("doc_count_delta")), "factor_label", "geo_label").limit(100)
 
 
@@ -583,7 +593,7 @@ FACTORS = ["court_ruling", "rate_path", "price_pressure"]
 @query("st08_nearest_days", f"""WITH v AS (SELECT bucket_time, {", ".join(f"sum(CASE WHEN factor_label = '{f}' THEN narrative_score ELSE 0 END) AS f{k}" for k, f in enumerate(FACTORS))} FROM ({SCORED}) GROUP BY 1)
   SELECT a.bucket_time, round(sqrt(pow(a.f0 - b.f0, 2) + pow(a.f1 - b.f1, 2) + pow(a.f2 - b.f2, 2)), 6) AS distance FROM v a, (SELECT * FROM v WHERE bucket_time = DATE '2022-01-07') b WHERE a.bucket_time < DATE '2022-01-07'""")
 def st08(spark: S, d: str) -> DataFrame:
-    return rounded(graph.similar_days(panel(spark, d), FACTORS, "2022-01-07"), "distance", digits=6)
+    return rounded(graph.similar_days(stored_panel(spark, d), FACTORS, "2022-01-07"), "distance", digits=6)
 
 
 @query("so01_union_distinct", "SELECT doc_id FROM bronze_candidates UNION SELECT doc_id FROM graph_doc_nodes_daily UNION SELECT doc_id FROM silver_factor_mentions")

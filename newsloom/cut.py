@@ -98,6 +98,14 @@ def release(*tables: DataFrame) -> None:
                 kept.remove(path)
 
 
+def retain(table: DataFrame) -> DataFrame:
+    """Keep a table of :func:`materialize` until the application ends, also through :func:`drop_materialized`."""
+    kept = _written.get(table.sparkSession.sparkContext.applicationId, [])
+    if table._newsloom_path in kept:
+        kept.remove(table._newsloom_path)
+    return table
+
+
 def drop_materialized(spark: SparkSession) -> None:
     """Delete every intermediate table this application wrote so far."""
     for path in _written.pop(spark.sparkContext.applicationId, []):

@@ -127,9 +127,9 @@ _kept: dict[tuple, DataFrame] = {}
 
 def kept(df: DataFrame, *key: str) -> DataFrame:
     """A table kept in the shared folder under a key, as store, hash of its manifest and days; computed once a session."""
-    from newsloom.cut import exists, materialize
+    from newsloom.cut import exists, materialize, retain
 
     at = (df.sparkSession.sparkContext.applicationId, *key)
     if at not in _kept or not exists(df.sparkSession, _kept[at]._newsloom_path):
-        _kept[at] = materialize(df, "kept")
+        _kept[at] = retain(materialize(df, "kept"))
     return _kept[at]
