@@ -130,7 +130,8 @@ def term_frequencies(records: DataFrame, rare_docs: int = 2, common_share: float
     count nowhere; an empty table gives an empty result.
     """
     if ident:
-        records = ranked(records.select(ident, "field", "terms"), [], [F.col(ident).asc(), F.col("field").asc()]).withColumn("number", F.col("rank") - 1)
+        records = materialize(records.select(ident, "field", "terms"), "records")  # a range sort reads its input twice
+        records = ranked(records, [], [F.col(ident).asc(), F.col("field").asc()]).withColumn("number", F.col("rank") - 1)
     merged = materialize(merge_bitmaps(term_bitmaps(records, hold)), "terms")
     # one row per field
     total = F.broadcast(merged.filter(F.col("term").isNull()).select("field", F.col("docs").alias("records")))
