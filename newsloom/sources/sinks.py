@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def write_days(df: DataFrame, path: str, day: str) -> None:
-    """Write day partitions; days in ``df`` replace the stored ones, other days stay. One shuffle by day keeps files few."""
-    writer = df.repartition(F.col(day), F.pmod(F.monotonically_increasing_id(), F.lit(8))).write.partitionBy(day).mode("overwrite")
+    """Write day partitions; days in ``df`` replace the stored ones, other days stay.
+
+    Rows are brought together by day, and adaptive execution cuts a large day into as many tasks, and files, as its size needs.
+    """
+    writer = df.hint("rebalance", F.col(day)).write.partitionBy(day).mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").option("compression", "zstd").parquet(path)
 
 
@@ -123,7 +126,7 @@ def append_ledger(df: DataFrame, path: str) -> None:
 
 def stage(df: DataFrame, path: str, day: str) -> None:
     """Add files to day folders beside those that are there; file names never collide."""
-    df.repartition(F.col(day)).write.partitionBy(day).mode("append").parquet(path)
+    df.hint("rebalance", F.col(day)).write.partitionBy(day).mode("append").parquet(path)
 
 
 def markdown_lines(df: DataFrame, title: str, order: list[str]) -> DataFrame:
