@@ -3,10 +3,10 @@
 A record is the set of its distinct words. Two sets as similar as asked for share a known number of words,
 so, with words put in one order from rare to frequent, they share one of the first few: the index lists a
 record under each of those (prefix filter), and no such pair can miss another there. A record also carries
-a row of positional bytes: every word turns over one bit of one byte. The bytes of two records differ in at
-most as many bits as the sets differ in words; so pairs of a list whose bytes differ in more bits than the
-similarity allows are dropped, and the rest is verified on the words themselves. Both filters are bounds and
-not chances: every pair at or above the similarity is a link. Identical word sets are one class from the start.
+a row of positional bytes of its words from there on: every word turns over one bit of one byte. The bytes of
+two records differ in at most as many bits as the words differ; so pairs of a list that have too few words left,
+or whose bytes differ in more bits than the similarity allows, are dropped, and the rest is verified on the words
+themselves. The filters are bounds and not chances: every pair at or above the similarity is a link. Identical word sets are one class from the start.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from newsloom.operators.components import components
 BYTES = 32
 SLOTS = 1 << 20
 ROWS = "id long, n int, early int, s0 long, s1 long, s2 long, s3 long, words array<long>"
-POSTINGS = "key long, id long, n int, short boolean, s0 long, s1 long, s2 long, s3 long"
+POSTINGS = "key long, id long, n int, rest int, s0 long, s1 long, s2 long, s3 long"
+NAMES = [f.split()[0] for f in POSTINGS.split(", ")]
 EPS = 1e-9
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -48,6 +49,14 @@ def positional_bytes(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(-1, 8 * BYTES), axis=1).view(np.uint64)
 
 
+def turned(words: np.ndarray) -> np.ndarray:
+    """The row of every single word: the bit that it turns over in :func:`positional_bytes`."""
+    at = mixed(words.view(np.uint64)) % np.uint64(8 * BYTES)
+    out = np.zeros((len(words), BYTES // 8), np.uint64)
+    out[np.arange(len(words)), (at >> np.uint64(6)).astype(np.int64)] = np.uint64(1) << ((at & np.uint64(56)) + np.uint64(7) - (at & np.uint64(7)))
+    return out
+
+
 def record_counts(sets: DataFrame) -> np.ndarray:
     """Records per word in hashed counters: at most ``SLOTS`` numbers come to the driver, whatever the corpus."""
 
@@ -92,7 +101,7 @@ def _rows(sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def _postings(rows: DataFrame, crowd: int) -> DataFrame:
-    """Rows of the index: a record under each of its first words; ``short`` marks the early ones.
+    """Rows of the index: a record under each of its first words, with ``rest``, the number of its words from there on, and their positional bytes.
 
     A list of more than ``crowd`` records is dealt into sub-lists of about that size, and every two of them are
     one list of the index, so that all its pairs meet, in many tasks.
@@ -100,62 +109,113 @@ def _postings(rows: DataFrame, crowd: int) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(record_counts(rows))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ident, word = b.column(1).to_numpy(), b.column(0).to_numpy()
-            parts = -(-sent.value[slot(word)] // crowd)
-            own = (mixed(ident.view(np.uint64)) % np.maximum(parts, 1).astype(np.uint64)).astype(np.int64)
-            for lo in range(0, len(word), 2000):
-                p = parts[lo : lo + 2000]
-                row = lo + np.repeat(np.arange(len(p)), np.maximum(p - 1, 1))
-                other = np.arange(len(row)) - np.searchsorted(row, row)
-                other += (other >= own[row]) & (parts[row] > 1)
-                low, high = np.minimum(own[row], other), np.maximum(own[row], other)
-                with np.errstate(over="ignore"):
-                    dealt = mixed(word[row].view(np.uint64) ^ mixed((low * np.int64(1 << 31) + high + 1).view(np.uint64))).view(np.int64)
-                key = np.where(parts[row] > 1, dealt, word[row])
-                yield pa.RecordBatch.from_arrays([pa.array(key), *(c.take(pa.array(row)) for c in b.columns[1:])], names=b.schema.names)
-
-    lists = rows.select("id", "n", "early", "s0", "s1", "s2", "s3", F.posexplode("words").alias("rank", "key"))
-    return lists.select("key", "id", "n", (F.col("rank") < F.col("early")).alias("short"), "s0", "s1", "s2", "s3").mapInArrow(run, POSTINGS)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2000):
+                b = whole.slice(at, 2000)
+                ident, n = (b.column(k).to_numpy() for k in range(2))
+                word, offsets = b.column(6).flatten().to_numpy(zero_copy_only=False), b.column(6).offsets.to_numpy().astype(np.int64)
+                offsets = offsets - offsets[0]
+                size = np.diff(offsets)
+                record, start = np.repeat(np.arange(len(n)), size), np.repeat(offsets[:-1], size)
+                before = np.zeros((len(word), BYTES // 8), np.uint64)  # bytes of the words up to this one, over all records
+                before[1:] = np.bitwise_xor.accumulate(turned(word), axis=0)[:-1]
+                s = np.stack([b.column(k).to_numpy() for k in range(2, 6)], axis=1).view(np.uint64)[record] ^ before ^ before[start]
+                parts = -(-sent.value[slot(word)] // crowd)
+                own = (mixed(ident.view(np.uint64))[record] % np.maximum(parts, 1).astype(np.uint64)).astype(np.int64)
+                for lo in range(0, len(word), 20_000):
+                    p = parts[lo : lo + 20_000]
+                    row = lo + np.repeat(np.arange(len(p)), np.maximum(p - 1, 1))
+                    other = np.arange(len(row)) - np.searchsorted(row, row)
+                    other += (other >= own[row]) & (parts[row] > 1)
+                    low, high = np.minimum(own[row], other), np.maximum(own[row], other)
+                    with np.errstate(over="ignore"):
+                        dealt = mixed(word[row].view(np.uint64) ^ mixed((low * np.int64(1 << 31) + high + 1).view(np.uint64))).view(np.int64)
+                    key, of = np.where(parts[row] > 1, dealt, word[row]), record[row]
+                    rest = (n[of] - (row - start[row])).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ident[of]), pa.array(n[of]), pa.array(rest), *(pa.array(s[row, k].view(np.int64)) for k in range(4))], names=NAMES)
+
+    return rows.select("id", "n", "s0", "s1", "s2", "s3", "words").mapInArrow(run, POSTINGS)
 
 
 def _candidates(postings: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of the lists of the index whose sizes and positional bytes allow the similarity."""
-    apart, area, few = (1 - similarity) / (1 + similarity), 1 << 17, 64
+    """Pairs (a, b) of the lists of the index whose sizes, places and positional bytes allow the similarity.
 
-    def left(n: np.ndarray) -> np.ndarray:  # half of the bits that may differ, rounded up; two of them fit a byte
-        return np.minimum(np.floor(apart * n + EPS) + 1, 127).astype(np.uint8)
+    Sets of m and n words must share c (m + n) of them, c = similarity / (1 + similarity). In the list of the first word they
+    share, all of these are among the words from there on: both sets have as many left, and the bytes of what is left differ
+    in at most rest - 2 c m of the one and rest - 2 c n of the other together. A pair is found there, whatever its other lists say.
+    A long list is cut into bands by size, each with the largest ``rest`` first, so two bands meet in a rectangle of pairs that
+    have enough words left; there 64 or 128 bits into which the bytes are folded are compared first.
+    """
+    c, area, few, width, most = similarity / (1 + similarity), 1 << 15, 64, 256, 64
 
-    def near(a: np.ndarray, b: np.ndarray, n: np.ndarray, s: list[np.ndarray]) -> np.ndarray:
+    def near(a: np.ndarray, b: np.ndarray, n: np.ndarray, rest: np.ndarray, s: list[np.ndarray]) -> np.ndarray:
+        need = c * (n[a] + n[b])
+        ok = np.flatnonzero(np.minimum(rest[a], rest[b]) >= need - EPS)
+        a, b = a[ok], b[ok]
         bits = sum(np.bitwise_count(x[a] ^ x[b]).astype(np.int64) for x in s)
-        return (bits <= apart * (n[a] + n[b]) + EPS) & (n[b] * similarity <= n[a] + EPS)
+        return ok[bits <= rest[a] + rest[b] - 2 * need[ok] + EPS]
 
-    def pairs(key: np.ndarray, n: np.ndarray, short: np.ndarray, s: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Positions of pairs; lists are sorted by size, so the first of a pair is the smaller set."""
+    def pairs(key: np.ndarray, n: np.ndarray, rest: np.ndarray, s: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Positions of pairs; lists are sorted by size."""
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         stop = np.r_[start[1:], len(key)]
         size = stop - start
-        at = np.flatnonzero(short & (np.repeat(size, size) <= few))
+        at = np.flatnonzero(np.repeat(size, size) <= few)
         for k in range(1, few):
             at = at[at + k < len(key)]
             at = at[key[at] == key[at + k]]
             if not len(at):
                 break
-            ok = near(at, at + k, n, s)
+            ok = near(at, at + k, n, rest, s)
             yield at[ok], at[ok] + k
-        for lo, hi in zip(start[size > few], stop[size > few]):
-            first = lo + np.flatnonzero(short[lo:hi])
-            half = left(n[lo:hi])
-            p = 0
-            while p < len(first):
-                a = first[p : p + max(1, area // int(hi - first[p]))]
-                p += len(a)
-                b = np.arange(a[0] + 1, lo + np.searchsorted(n[lo:hi], n[a[-1]] / similarity + EPS, "right"))
-                bits = np.bitwise_count(s[0][a, None] ^ s[0][None, b]) + np.bitwise_count(s[1][a, None] ^ s[1][None, b])
-                i, j = np.nonzero(bits <= half[a - lo, None] + half[None, b - lo])
-                i, j = a[i], b[j]
-                ok = (i < j) & near(i, j, n, s)
-                yield i[ok], j[ok]
+        for lo, hi in zip(start[size > few].tolist(), stop[size > few].tolist()):
+            yield from long_list(lo, hi, n, rest, s)
+
+    def long_list(lo: int, hi: int, n: np.ndarray, rest: np.ndarray, s: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        step = max(width, -(-(hi - lo) // most))
+        order = lo + np.lexsort((-rest[lo:hi], np.arange(hi - lo) // step))
+        m, left, (s0, s1, s2, s3) = n[order], rest[order], (x[order] for x in s)
+        two = (s0 ^ s2, s1 ^ s3)
+        one = two[0] ^ two[1]
+        spare = np.floor(left - 2 * c * m + EPS)  # bits that may differ for this side; rounded down, so the other side gets one more
+        spare = spare.astype(np.int8 if np.abs(spare).max() < 60 else np.int32)
+        more = spare + spare.dtype.type(1)
+        wide, first, second = np.empty(area, np.uint64), np.empty(area, np.uint8), np.empty(area, np.uint8)
+        bands = [(k, min(k + step, hi - lo)) for k in range(0, hi - lo, step)]
+        least, largest = [int(m[a:b].min()) for a, b in bands], [int(m[a:b].max()) for a, b in bands]
+        falling = -left
+
+        def enough(band: int, need: float) -> int:
+            a, b = bands[band]
+            return a + int(np.searchsorted(falling[a:b], -need + EPS, "right"))
+
+        for x in range(len(bands)):
+            for y in range(x, len(bands)):
+                if least[y] * similarity > largest[x] + EPS:
+                    break
+                need = c * (least[x] + least[y])
+                p, end, q, last = bands[x][0], enough(x, need), bands[y][0], enough(y, need)
+                while p < end and q < last:
+                    b = slice(q, min(q + area, last))
+                    a = slice(p, min(end, p + max(1, area // (b.stop - q))))
+                    shape = (a.stop - p, b.stop - q)
+                    w, f, g = (t[: shape[0] * shape[1]].reshape(shape) for t in (wide, first, second))
+                    if spare[a].mean() + spare[b].mean() < 10:
+                        np.bitwise_count(np.bitwise_xor(one[a, None], one[None, b], out=w), out=f)
+                    else:
+                        np.bitwise_count(np.bitwise_xor(two[0][a, None], two[0][None, b], out=w), out=f)
+                        np.bitwise_count(np.bitwise_xor(two[1][a, None], two[1][None, b], out=w), out=g)
+                        np.add(f, g, out=f)
+                    differ = f.view(np.int8) if spare.dtype == np.int8 else f  # 128 bits become -128, which the last test drops
+                    i, j = np.divmod(np.flatnonzero(differ <= spare[a, None] + more[None, b]), shape[1])
+                    i, j = order[p + i], order[q + j]
+                    if x == y:
+                        i, j = i[i != j], j[i != j]
+                    ok = near(i, j, n, rest, s)
+                    yield i[ok], j[ok]
+                    p, q = (a.stop, bands[y][0]) if b.stop == last else (p, b.stop)
+                    if x == y and p == a.stop:
+                        q = p
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] | None = None
@@ -170,11 +230,20 @@ def _candidates(postings: DataFrame, similarity: float) -> DataFrame:
             yield from found(rest)
 
     def found(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        key, ident, n, short = cols[:4]
-        for i, j in pairs(key, n.astype(np.int64), short.astype(bool), [c.view(np.uint64) for c in cols[4:]]):
+        key, ident, n, rest = cols[:4]
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for i, j in pairs(key, n.astype(np.int64), rest.astype(np.int64), [c.view(np.uint64) for c in cols[4:]]):
             for lo in range(0, len(i), 200_000):
-                x, y = ident[i[lo : lo + 200_000]], ident[j[lo : lo + 200_000]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+                held.append((ident[i[lo : lo + 200_000]], ident[j[lo : lo + 200_000]]))
+                if sum(len(x) for x, _ in held) >= 100_000:
+                    yield batch(held)
+                    held = []
+        if held:
+            yield batch(held)
+
+    def batch(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        x, y = (np.concatenate(side) for side in zip(*held))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
     parts = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return postings.repartition(parts, "key").sortWithinPartitions("key", "n", "id").mapInArrow(run, "a long, b long").distinct()
@@ -186,12 +255,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return one.select("a", "b", (both / (F.size("wa") + F.size("wb") - both)).alias("similarity")).filter(F.col("similarity") >= similarity)
 
 
-def near_duplicates(records: DataFrame, similarity: float = 0.8, crowd: int = 8192) -> DataFrame:
+def near_duplicates(records: DataFrame, similarity: float = 0.8, crowd: int = 1 << 18) -> DataFrame:
     """Group records whose sets of distinct words are similar.
 
     records: (id long, words array<string or long>), one row per record; repeated ids count once, null ids
     and empty or null word sets take no part. similarity: shared words over all words of both, above 0.
-    crowd: records above which a list of the index is dealt into sub-lists, of which every two are compared.
+    crowd: records above which a list of the index is dealt into sub-lists, of which every two are compared; a record is in
+    the index once more for every further sub-list, so small ones multiply the index. The result does not depend on it.
 
     Returns (id, class_id, representative, links): the smallest id of the group, of the records with
     the same words, and the number of other word sets the record is linked to; every record has one row.

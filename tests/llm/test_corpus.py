@@ -1,5 +1,6 @@
 """Training-data operators against brute force, SQL and fixed cases; odd inputs have a defined result."""
 
+import inspect
 import itertools
 import math
 import os
@@ -184,6 +185,31 @@ def test_long_lists_are_dealt(spark):
     assert len({p for x in lists.values() for p in itertools.combinations(sorted(x), 2)}) == 1000 * 999 // 2
 
 
+def test_a_list_of_twenty_thousand_is_not_multiplied(spark):
+    """Over a fixed vocabulary lists grow with the corpus; dealing them at the default must not make the index grow with the square."""
+    crowd = inspect.signature(neardup.near_duplicates).parameters["crowd"].default
+    rows = spark.range(20_000).selectExpr("id", "1 n", "1 early", "0L s0", "0L s1", "0L s2", "0L s3", f"array({7 << 20}L) words")
+    assert neardup._postings(rows, crowd).count() == 20_000
+
+
+@pytest.mark.parametrize("similarity", [0.35, 0.6, 0.9])
+def test_bands_of_long_lists(spark, similarity):
+    """Lists of several bands, sets of 3 to 60 words over a small vocabulary with near copies: every pair is a link."""
+    rng = random.Random(13)
+    rows = []
+    while len(rows) < 1500:
+        base = rng.sample(range(90), rng.randrange(3, 60))
+        for _ in range(3):
+            rows.append((len(rows) + 1, sorted({x for x in base if rng.random() > 0.1} | set(rng.sample(range(90), rng.randrange(4))) | {0})))
+    sets, first = {i: frozenset(w) for i, w in rows}, {}
+    for i in sorted(sets):
+        first.setdefault(sets[i], i)
+    one = sorted(first.values())
+    degree = Counter(x for a, b in itertools.combinations(one, 2) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= similarity for x in (a, b))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "id long, words array<long>"), similarity).collect()
+    assert {r.id: r.links for r in got if r.id == r.representative} == {i: degree[i] for i in one}
+
+
 @needs_data
 def test_p3_found_brute_force(spark):
     rows = spark.read.parquet(f"{D}/bronze_candidates.parquet").filter("summary_text is not null").select("doc_id", "title", "summary_text", "document_identifier").distinct().collect()
