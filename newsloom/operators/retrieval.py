@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions import vectors
-from newsloom.functions.ids import hamming
 
 
 def nearest(collection: DataFrame, queries: DataFrame, k: int, ident: str = "vec_id", vector: str = "embedding", block: int = 512, most: int = 100_000) -> DataFrame:
@@ -191,23 +191,16 @@ def scaled(df: DataFrame, score: str) -> DataFrame:
     return df.withColumn(f"{score}_scaled", vectors.minmax(F.col(score), lo, hi))
 
 
-def bands(simhash: Column, most: int = 6, agree: int = 2) -> Column:
-    """Keys of a 64-bit fingerprint by pigeonhole: of ``most + agree`` blocks two fingerprints at most ``most`` bits apart share at least ``agree``.
+def _choices(most: int, agree: int) -> list[int]:
+    """Masks of the choices of ``agree`` of ``most + agree`` blocks of a 64-bit fingerprint.
 
-    A key is a choice of ``agree`` blocks with their bits: more blocks in a key make its lists shorter and the keys more.
+    By pigeonhole two fingerprints at most ``most`` bits apart are equal under at least one of these masks: more blocks in a
+    choice make its lists shorter and the choices more.
     """
     parts = most + agree
     edges = [round(64 * k / parts) for k in range(parts + 1)]
-    piece = [F.shiftright(simhash, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:])]
-
-    def key(chosen: tuple[int, ...]) -> Column:
-        bits, at = F.lit(0).cast("long"), 0
-        for k in chosen:
-            bits = bits.bitwiseOR(F.shiftleft(piece[k], at))
-            at += edges[k + 1] - edges[k]
-        return bits
-
-    return F.array(*[F.struct(F.lit(n).alias("part"), key(chosen).alias("bits")) for n, chosen in enumerate(combinations(range(parts), agree))])
+    block = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:])]
+    return [sum(chosen) for chosen in combinations(block, agree)]
 
 
 def fingerprint_classes(df: DataFrame, ident: str, simhash: str) -> DataFrame:
@@ -220,7 +213,7 @@ def fingerprint_classes(df: DataFrame, ident: str, simhash: str) -> DataFrame:
 def fingerprint_pairs(df: DataFrame, ident: str, simhash: str, most: int = 6, agree: int | None = None) -> DataFrame:
     """Pairs of different fingerprints at most ``most`` bits apart, over class representatives.
 
-    Equal fingerprints are one class, so a crowd of copies meets nobody twice. agree: blocks in a key (see :func:`bands`); by default as
+    Equal fingerprints are one class, so a crowd of copies meets nobody twice. agree: blocks in a key (see :func:`_choices`); by default as
     many as keep the keys longer than the number of fingerprints needs (some 16, 21 or 26 bits), which changes the work and never the
     result. Returns (a, b, bits) of the smallest ids of the classes; :func:`fingerprint_classes` has the members.
     """
@@ -228,10 +221,61 @@ def fingerprint_pairs(df: DataFrame, ident: str, simhash: str, most: int = 6, ag
     if agree is None:
         n = one.count()
         agree = next((g for g in (2, 3) if n <= 1 << (64 * g // (most + g) + 4)), 4)
-    keys = one.select("id", "h", F.explode(bands(F.col("h"), most, agree)).alias("k")).select("id", "h", "k.*")
-    other = keys.select(F.col("id").alias("id2"), F.col("h").alias("h2"), "part", "bits")
-    near = keys.join(other, ["part", "bits"]).filter((F.col("id") < F.col("id2")) & (hamming(F.col("h"), F.col("h2")) <= most))
-    return near.select(F.col("id").alias("a"), F.col("id2").alias("b"), hamming(F.col("h"), F.col("h2")).alias("bits")).distinct()
+    masks = _choices(most, agree)
+    kind = one.select("id").schema["id"].dataType.simpleString()
+
+    def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 5000):
+                b = whole.slice(lo, 5000)
+                h = b.column(1).to_numpy().view(np.uint64)
+                for n, m in enumerate(masks):
+                    key = (h & np.uint64(m)).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), n, np.int32)), pa.array(key), *b.columns], names=["part", "bits", "id", "h"])
+
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lists = one.select("id", "h").mapInArrow(keyed, f"part int, bits long, id {kind}, h long").repartition(parts, "part", "bits").sortWithinPartitions("part", "bits")
+    near = lists.mapInArrow(lambda batches: _near_in_lists(batches, most), f"a {kind}, b {kind}, bits int")
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "bits").distinct()
+
+
+def _near_in_lists(batches: Iterable[pa.RecordBatch], most: int, held: int = 1 << 17) -> Iterator[pa.RecordBatch]:
+    """Pairs at most ``most`` bits apart of every list of equal (part, bits); lists are whole and follow each other."""
+
+    def pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        part, bits, h = (t.column(c).to_numpy() for c in ("part", "bits", "h"))
+        h = h.view(np.uint64)
+        new = np.r_[True, (part[1:] != part[:-1]) | (bits[1:] != bits[:-1])]
+        stop = np.r_[np.flatnonzero(new)[1:], len(h)]
+        end = stop[np.cumsum(new) - 1]
+        at, k = np.arange(len(h)), 1
+        while len(at := at[at + k < end[at]]):  # every record with the k-th after it in its list
+            for lo in range(0, len(at), held):
+                x = at[lo : lo + held]
+                apart = np.bitwise_count(h[x] ^ h[x + k])
+                ok = np.flatnonzero(apart <= most)
+                if len(ok):
+                    yield pa.RecordBatch.from_arrays([*(t.column("id").take(pa.array(i)).combine_chunks() for i in (x[ok], x[ok] + k)), pa.array(apart[ok].astype(np.int32))], names=["a", "b", "bits"])
+            k += 1
+
+    rest: list[pa.RecordBatch] = []
+    rows = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        rest.append(b)
+        rows += b.num_rows
+        if rows < held:
+            continue
+        t = pa.Table.from_batches(rest)
+        part, bits = t.column("part").to_numpy(), t.column("bits").to_numpy()
+        cut = int(np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (bits[1:] != bits[:-1])])[-1])  # the last list may go on
+        if cut:
+            yield from pairs(t.slice(0, cut))
+        rest = t.slice(cut).to_batches()
+        rows = t.num_rows - cut
+    if rest:
+        yield from pairs(pa.Table.from_batches(rest))
 
 
 def diversified(hits: DataFrame, query: str, order: Sequence[Column], url: str, simhash: str, keep: int, most: int = 6, heads: int = 64) -> DataFrame:

@@ -7,6 +7,7 @@ import subprocess
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +108,22 @@ def test_fingerprint_pairs_brute_force(spark, agree):
     assert {tuple(r) for r in retrieval.fingerprint_pairs(df, "id", "h", 6, agree).collect()} == want and want
 
 
+def test_fingerprint_pairs_in_a_small_plan(spark):
+    """The keys of a fingerprint are rows of a pass and no expressions that the driver plans; a list longer than a block is whole."""
+    rng = random.Random(6)
+    df = spark.createDataFrame([(k, rng.getrandbits(12) << 3 | rng.getrandbits(3)) for k in range(1500)], "id long, h long")
+    got = retrieval.fingerprint_pairs(df, "id", "h", 2, 4)
+    assert len(got._jdf.queryExecution().optimizedPlan().toString()) < 2000
+    first = {}
+    for r in df.collect():
+        first[r.h] = min(r.id, first.get(r.h, r.id))
+    want = {(min(a, b), max(a, b), (x ^ y).bit_count()) for x, a in first.items() for y, b in first.items() if x < y and (x ^ y).bit_count() <= 2}
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    blocks = (pa.RecordBatch.from_pydict({"part": pa.array([0] * 7, pa.int32()), "bits": [0] * 7, "id": list(range(7 * k, 7 * k + 7)), "h": list(range(7 * k, 7 * k + 7))}) for k in range(5))
+    near = {tuple(r.values()) for b in retrieval._near_in_lists(blocks, 1, held=10) for r in b.to_pylist()}
+    assert near == {(x, y, 1) for x in range(35) for y in range(x + 1, 35) if (x ^ y).bit_count() == 1}
+
+
 def test_text_simhash(spark):
     df = spark.createDataFrame([(1, "Alpha beta gamma"), (2, "gamma BETA, alpha alpha"), (3, None), (4, " -- "), (5, "alpha " * 50_000)], "id long, t string")
     got = {r.id: r.h for r in df.select("id", ids.text_simhash(F.col("t")).alias("h")).collect()}
